@@ -38,10 +38,20 @@ def whole_minutes_between(start: Column | str, end: Column | str) -> Column:
     return F.timestamp_diff("MINUTE", as_column(start), as_column(end))
 
 
-def share_pct(condition: Column, digits: int | None = None) -> Column:
-    """Percentage of all rows of the group that meet the condition, NULLs counted in the base."""
-    pct = F.count_if(condition) / F.count(F.lit(1)) * F.lit(100.0)
-    return pct if digits is None else F.round(pct, digits)
+def stable_round(value: Column | str, digits: int) -> Column:
+    """Round half away from zero, the same on every run.
+
+    The order in which a shuffle delivers doubles changes the last bits of a
+    sum. Those bits are cut off first, so that a mean that is exactly halfway
+    always goes the same way.
+    """
+    return F.round(F.round(as_column(value).cast("double"), 8), digits)
+
+
+def share_pct(matching: Column, total: Column, digits: int | None = None) -> Column:
+    """matching as a percentage of total."""
+    pct = matching / total * F.lit(100.0)
+    return pct if digits is None else stable_round(pct, digits)
 
 
 def delay_category(delay_minutes: Column | str) -> Column:

@@ -8,6 +8,7 @@ tasks and merge the small ones.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 RECORDS_PER_FILE = 200_000
@@ -108,9 +109,14 @@ def load_csv(
     overwrite_partitions(reader.csv(paths), target, [partition_field])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at path, or None where nothing has been written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
+            return None
+        raise
 
 
 def recent_days(df: DataFrame, day: str, as_of: str, days: int = 30) -> DataFrame:
