@@ -38,13 +38,14 @@ def departures_of(
 def read_departures(
     spark: SparkSession, paths: str | list[str], station_code: Column | str,
     service_date: Column | str, ingested_at: Column | None = None,
-    schema: T.StructType = schemas.BOARD_FILE,
+    schema: T.StructType = schemas.BOARD_FILE, multi_line: bool = True,
 ) -> DataFrame:
     """Departure-board polls. Station and day are values or columns of the directory layout.
 
-    Nested values arrive as JSON text. Pass a wider schema to take in new fields.
+    A file holds one response, or one per line with multi_line=False. Nested
+    values arrive as JSON text. Pass a wider schema to take in new fields.
     """
-    responses = spark.read.schema(schema).json(paths, multiLine=True)
+    responses = spark.read.schema(schema).json(paths, multiLine=multi_line)
     return departures_of(responses, station_code, service_date, ingested_at)
 
 

@@ -12,11 +12,15 @@ from linewatch.sources.boards import departures_of
 def board_stream(
     spark: SparkSession, landing: str, station_code: Column | str, service_date: Column | str,
     ingested_at: Column | None = None, max_files_per_trigger: int = 10_000,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Departures of the poll files in a folder, each file read once."""
+    """Departures of the poll files in a folder, each file read once.
+
+    A file holds one response, or one per line with multi_line=False.
+    """
     responses = (
         spark.readStream.schema(BOARD_FILE)
-        .options(multiLine=True, maxFilesPerTrigger=max_files_per_trigger)
+        .options(multiLine=multi_line, maxFilesPerTrigger=max_files_per_trigger)
         .json(landing)
     )
     return departures_of(responses, station_code, service_date, ingested_at)
