@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from linewatch.operators.skew import join_per_key
+
 # Groups up to this many rows are ranked as a whole.
 WHOLE_GROUP_ROWS = 100_000
 SKETCH_ACCURACY = 2_000
@@ -13,7 +15,9 @@ def grouped_quantile(
     df: DataFrame, key: str, value: str, quantile: float, name: str,
     whole_group_rows: int = WHOLE_GROUP_ROWS, accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
-    """One row per key: the interpolated quantile of the non-NULL values, NULL if there are none.
+    """One row per key: the interpolated quantile of the non-NULL values.
+
+    Keys without any value, and rows without a key, give no row.
 
     The built-in `percentile` keeps every distinct value of a group in one
     aggregation buffer, which a road point with a large share of all readings
@@ -30,14 +34,13 @@ def grouped_quantile(
         v, [max(quantile - margin, 0.0), min(quantile + margin, 1.0)], accuracy)
     is_large = F.col("_n") > whole_group_rows
     bounds = df.groupBy(key).agg(group_size.alias("_n"), enclosing.alias("_q")).select(
-        F.col(key).alias("_key"), "_n",
+        key, "_n",
         F.when(is_large & F.lit(quantile > margin), F.col("_q")[0]).alias("_low"),
         F.when(is_large & F.lit(quantile < 1 - margin), F.col("_q")[1]).alias("_high"),
     )
 
     counted = (
-        df.select(key, value)
-        .join(bounds, F.col(key).eqNullSafe(F.col("_key")))
+        join_per_key(df.select(key, value), bounds, key, "inner", spread_by=[value])
         .where(v.isNotNull() & (F.col("_high").isNull() | (v <= F.col("_high"))))
         .select(key, "_n", F.when(F.col("_low").isNull() | (v >= F.col("_low")), v).alias("_v"))
         .groupBy(key, "_v")

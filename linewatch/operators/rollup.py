@@ -1,4 +1,4 @@
-"""Additive daily rollup of departures, the input of the operator and system reports."""
+"""Additive daily rollup of departures, the input of the facts and of the operator reports."""
 
 from __future__ import annotations
 
@@ -10,15 +10,16 @@ ROLLUP_KEYS = ["station_code", "operator_name", "service_date"]
 def departure_rollup(departures: DataFrame) -> DataFrame:
     """Counts and sums per station, operator and day.
 
-    All measures add up, and the keys are what the reports count distinctly, so
-    every report is exact on this table. It is written once per refresh: the
-    reports then read a few rows per station-day instead of all departures.
+    All measures add up (or are maxima), and the keys are what the reports count distinctly, so
+    everything built on this table is exact. It is written once per refresh: facts
+    and reports then read a few rows per station-day instead of all departures.
     """
     delay = F.col("delay_minutes")
     return departures.groupBy(*ROLLUP_KEYS).agg(
         F.count(F.lit(1)).alias("departures"),
         F.count(delay).alias("with_delay"),
         F.sum(delay).alias("delay_sum"),
+        F.max(delay).alias("delay_max"),
         F.count_if(delay <= 0).alias("at_most_0"),
         F.count_if(delay <= 1).alias("at_most_1"),
         F.count_if(delay > 0).alias("over_0"),

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from linewatch.functions.columns import share_pct, stable_round
+from linewatch.operators import rollup
 from linewatch.operators.combine import union_by_priority
 from linewatch.operators.quantile import grouped_quantile
+from linewatch.operators.skew import join_per_key
 
 DEPARTURE_COLUMNS = [
     "departure_id", "station_code", "service_date", "direction", "planned_departure_ts",
@@ -65,21 +67,20 @@ def disruptions_per_station_day(*disruptions: DataFrame) -> DataFrame:
 
 
 def int_train_delays_daily(
-    departures: DataFrame, stg_ns_disruptions: DataFrame, stg_rdt_disruptions: DataFrame,
+    departure_rollup: DataFrame, stg_ns_disruptions: DataFrame, stg_rdt_disruptions: DataFrame,
 ) -> DataFrame:
-    """Delay statistics per station and day.
+    """Delay statistics per station and day; a missing delay counts in the base of the shares.
 
     Both sides are aggregated before they meet, and both are then partitioned
     by the join keys already.
     """
-    delay = F.col("delay_minutes")
-    rows = F.count(F.lit(1))
-    stats = departures.groupBy("station_code", "service_date").agg(
-        rows.alias("total_departures"),
-        stable_round(F.avg(delay), 2).alias("avg_delay_min"),
-        stable_round(F.max(delay), 2).alias("max_delay_min"),
-        share_pct(F.count_if(delay <= 1), rows, 2).alias("pct_on_time"),
-        share_pct(F.count_if(delay > 15), rows, 2).alias("severe_delay_share"),
+    departures = rollup.total("departures")
+    stats = departure_rollup.groupBy("station_code", "service_date").agg(
+        departures.alias("total_departures"),
+        stable_round(rollup.mean_delay(), 2).alias("avg_delay_min"),
+        stable_round(F.max("delay_max"), 2).alias("max_delay_min"),
+        share_pct(rollup.total("at_most_1"), departures, 2).alias("pct_on_time"),
+        share_pct(rollup.total("over_15"), departures, 2).alias("severe_delay_share"),
     )
     counts = disruptions_per_station_day(stg_ns_disruptions, stg_rdt_disruptions)
     return stats.join(counts, ["station_code", "service_date"], "left").withColumn(
@@ -93,21 +94,25 @@ def free_flow_speed(stg_ndw_traffic_flow: DataFrame) -> DataFrame:
         "free_flow_speed_kmh")
 
 
-def int_ndw_traffic_daily(stg_ndw_traffic_flow: DataFrame) -> DataFrame:
+def int_ndw_traffic_daily(
+    stg_ndw_traffic_flow: DataFrame, free_flow: DataFrame | None = None,
+) -> DataFrame:
     """Speed, volume and congested minutes per road point and day.
 
-    One row per road point is joined to the readings: Spark broadcasts it while
-    it is small, and otherwise AQE splits a road point with many readings.
+    free_flow is the written table of free-flow speeds: its size is known, so
+    Spark broadcasts it if it is small. Without it the speeds are part of this
+    plan, and road points with many readings are spread over tasks.
     """
     speed = F.col("avg_speed_kmh")
     slow = speed < F.col("free_flow_speed_kmh") * CONGESTED_BELOW
-    free_flow = free_flow_speed(stg_ndw_traffic_flow)
-    return (
-        stg_ndw_traffic_flow.join(free_flow, "location_id", "left")
-        .groupBy("location_id", "service_date")
-        .agg(
-            stable_round(F.avg(speed), 2).alias("avg_speed_kmh"),
-            F.sum("vehicle_count").alias("total_vehicle_count"),
-            (F.count_if(slow) * READING_MINUTES).alias("congestion_minutes"),
-        )
+    if free_flow is None:
+        readings = join_per_key(
+            stg_ndw_traffic_flow, free_flow_speed(stg_ndw_traffic_flow), "location_id", "left",
+            spread_by=["service_date", "avg_speed_kmh"])
+    else:
+        readings = stg_ndw_traffic_flow.join(free_flow, "location_id", "left")
+    return readings.groupBy("location_id", "service_date").agg(
+        stable_round(F.avg(speed), 2).alias("avg_speed_kmh"),
+        F.sum("vehicle_count").alias("total_vehicle_count"),
+        (F.count_if(slow) * READING_MINUTES).alias("congestion_minutes"),
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable, Mapping
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,16 +15,35 @@ FEEDS = ["rdt_services", "ns_departures", "rdt_disruptions", "ns_disruptions", "
          "ndw_traffic_flow"]
 
 
+class LazyFeeds(Mapping):
+    """Feeds that are put together when first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 class Models:
     """Names every model; asking for one puts its plan together, nothing runs."""
 
-    def __init__(self, spark: SparkSession, feeds: dict[str, DataFrame],
+    def __init__(self, spark: SparkSession, feeds: Mapping[str, DataFrame],
                  lookup_folder: str | None = None):
         self.spark, self.feeds, self.lookup_folder = spark, feeds, lookup_folder
 
     @classmethod
     def on_given_tables(cls, spark: SparkSession, sf_dir: str) -> Models:
-        return cls(spark, {f: getattr(stand_in, f)(spark, sf_dir) for f in FEEDS})
+        return cls(spark, LazyFeeds(
+            {f: partial(getattr(stand_in, f), spark, sf_dir) for f in FEEDS}))
 
     def lookup(self, name: str) -> DataFrame:
         return lookups.lookup(self.spark, name, self.lookup_folder)
@@ -63,7 +83,7 @@ class Models:
     @cached_property
     def int_train_delays_daily(self) -> DataFrame:
         return intermediate.int_train_delays_daily(
-            self.int_departures_combined, self.stg_ns_disruptions, self.stg_rdt_disruptions)
+            self.departure_rollup, self.stg_ns_disruptions, self.stg_rdt_disruptions)
 
     @cached_property
     def int_ndw_traffic_daily(self) -> DataFrame:

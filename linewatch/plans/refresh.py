@@ -73,14 +73,17 @@ class Refresh:
 
         departures = self._write("int_departures_combined", intermediate.int_departures_combined(
             st["stg_ns_departures"], st.get("stg_rdt_services")), cluster="station_code")
-        self._write("departure_rollup", departure_rollup(departures), cluster="operator_name")
+        rollup = self._write("departure_rollup", departure_rollup(departures),
+                             cluster="operator_name")
         if "stg_rdt_services" in st:
             self._write("station_names", system.station_names(st["stg_rdt_services"]), day=False)
         delays = self._write("int_train_delays_daily", intermediate.int_train_delays_daily(
-            departures, st["stg_ns_disruptions"], st["stg_rdt_disruptions"]),
+            rollup, st["stg_ns_disruptions"], st["stg_rdt_disruptions"]),
             cluster="station_code")
+        free_flow = self._write("free_flow_speed", intermediate.free_flow_speed(
+            st["stg_ndw_traffic_flow"]), day=False)
         roads = self._write("int_ndw_traffic_daily", intermediate.int_ndw_traffic_daily(
-            st["stg_ndw_traffic_flow"]), cluster="location_id")
+            st["stg_ndw_traffic_flow"], free_flow), cluster="location_id")
 
         fact = core.fct_train_performance(
             delays, stations, as_of=None if full_refresh else self.as_of)

@@ -3,238 +3,197 @@
 The test tables hold no rail data, so these rules turn each row of lineitem,
 events, orders and customer into a record of a raw feed. They use integer
 arithmetic and text building only, cover every row, and yield what the readers
-yield: the models run on them unchanged.
+yield: the models run on them unchanged. SQL text keeps each rule on one line.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linewatch.sources import lookups, roads, weather
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    """values[index]; NULL past the end."""
-    return F.try_element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _day(first: str, offset: Column) -> Column:
-    return F.date_add(F.lit(first).cast("date"), offset.cast("int"))
+def _pick(values: list[str], index: str) -> str:
+    """values[index], NULL past the end. The split of the constant text is folded by Spark."""
+    joined = "|".join(values).replace("'", "\\'")
+    return f"try_element_at(split('{joined}', '[|]'), cast({index} + 1 as int))"
 
 
-def _clock(minutes: Column) -> Column:
-    """hh:mm:00 of a minute of the day."""
-    return F.concat(
-        F.lpad((minutes / 60).cast("int").cast("string"), 2, "0"), F.lit(":"),
-        F.lpad((minutes % 60).cast("string"), 2, "0"), F.lit(":00"),
-    )
+def _day(first: str, offset: str) -> str:
+    return f"date_add(date'{first}', cast({offset} as int))"
 
 
-def _whole(value: Column) -> Column:
-    return F.floor(value).cast("bigint")
+def _clock(minutes: str) -> str:
+    """hh:mm:00 of a minute of the day."""
+    m = f"({minutes})"
+    return f"concat(lpad(string({m} div 60), 2, '0'), ':', lpad(string({m} % 60), 2, '0'), ':00')"
 
 
 def rdt_services(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item is one stop of a train (its order) in January to March 2026."""
-    order, part, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     stations = lookups.station_codes()
     names = {r["station_code"]: r["station_name"]
              for r in lookups.bundled_rows("station_corridor_mapping")}
-    place = F.col("l_suppkey") % 14
-    delay = F.when(part % 29 != 0, _whole(F.col("l_quantity")) % 23 - 3)
-    day = F.date_format(_day("2026-01-01", order % 90), "yyyy-MM-dd")
-    minute = (order * 7 + line * 13) % 1020 + 300
-    stamp = F.concat(day, F.lit("T"), _clock(minute), F.lit("+01:00"))
-    return _table(spark, sf_dir, "lineitem").select(
-        order.cast("string").alias("service_rdt_id"),
-        day.alias("service_date"),
-        F.when(F.col("l_returnflag") == "A", "Intercity")
-        .when(F.col("l_returnflag") == "N", "Sprinter").otherwise("Nachttrein")
-        .alias("service_type"),
-        _pick(lookups.operator_names(), part % 27).alias("company"),
-        (order % 10000).cast("string").alias("train_number"),
-        F.when(part % 41 != 0, part % 37 == 0).alias("completely_cancelled"),
-        (part % 11 == 0).alias("partly_cancelled"),
-        F.greatest(F.lit(0).cast("bigint"), F.coalesce(delay, F.lit(0).cast("bigint")))
-        .alias("max_delay"),
-        F.concat_ws("-", order.cast("string"), line.cast("string"), part.cast("string"))
-        .alias("stop_rdt_id"),
-        F.when(part % 53 == 0, "").otherwise(_pick(stations, place)).alias("station_code"),
-        _pick([names[s] for s in stations], place).alias("station_name"),
-        F.when(line > 1, stamp).alias("arrival_time"),
-        F.when(line > 1, delay).alias("arrival_delay"),
-        (part % 43 == 0).alias("arrival_cancelled"),
-        F.when(line < 7, stamp).alias("departure_time"),
-        delay.alias("departure_delay"),
-        (part % 31 == 0).alias("departure_cancelled"),
-        (part % 5 == 0).alias("platform_change"),
-        (order % 12 + 1).cast("string").alias("planned_platform"),
-        F.when(part % 7 != 0, ((order + part % 5) % 12 + 1).cast("string"))
-        .alias("actual_platform"),
-        F.lit("rdt_archive").alias("_source"),
-        F.lit("2026-04-02 06:00:00").cast("timestamp").alias("_ingested_at"),
-        F.substring(day, 1, 7).alias("_year_month"),
+    rows = _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_returnflag",
+        f"string({_day('2026-01-01', 'l_orderkey % 90')}) as d",
+        _clock("(l_orderkey * 7 + l_linenumber * 13) % 1020 + 300") + " as clock",
+        "if(l_partkey % 29 <> 0, floor(l_quantity) % 23 - 3, null) as late",
+    )
+    return rows.selectExpr(
+        "string(l_orderkey) as service_rdt_id",
+        "d as service_date",
+        "case l_returnflag when 'A' then 'Intercity' when 'N' then 'Sprinter' else 'Nachttrein' end"
+        " as service_type",
+        _pick(lookups.operator_names(), "l_partkey % 27") + " as company",
+        "string(l_orderkey % 10000) as train_number",
+        "if(l_partkey % 41 <> 0, l_partkey % 37 = 0, null) as completely_cancelled",
+        "l_partkey % 11 = 0 as partly_cancelled",
+        "greatest(0L, coalesce(late, 0L)) as max_delay",
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey) as stop_rdt_id",
+        f"if(l_partkey % 53 = 0, '', {_pick(stations, 'l_suppkey % 14')}) as station_code",
+        _pick([names[s] for s in stations], "l_suppkey % 14") + " as station_name",
+        "if(l_linenumber > 1, concat(d, 'T', clock, '+01:00'), null) as arrival_time",
+        "if(l_linenumber > 1, late, null) as arrival_delay",
+        "l_partkey % 43 = 0 as arrival_cancelled",
+        "if(l_linenumber < 7, concat(d, 'T', clock, '+01:00'), null) as departure_time",
+        "late as departure_delay",
+        "l_partkey % 31 = 0 as departure_cancelled",
+        "l_partkey % 5 = 0 as platform_change",
+        "string(l_orderkey % 12 + 1) as planned_platform",
+        "if(l_partkey % 7 <> 0, string((l_orderkey + l_partkey % 5) % 12 + 1), null)"
+        " as actual_platform",
+        "'rdt_archive' as _source",
+        "timestamp'2026-04-02 06:00:00' as _ingested_at",
+        "substring(d, 1, 7) as _year_month",
     )
 
 
-def _moved_day(ts: Column) -> Column:
-    """The event days of January 2024 become the days from 15 March 2026 on."""
-    return _day("2026-03-15", F.datediff(ts.cast("date"), F.lit("2024-01-01").cast("date")))
+# The event days of January 2024 become the days from 15 March 2026 on.
+_MOVED_DAY = _day("2026-03-15", "datediff(ts, date'2024-01-01')")
 
 
 def ns_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event is one departure seen in one poll."""
-    user, ts = F.col("user_id"), F.col("ts")
-    day = F.date_format(_moved_day(ts), "yyyy-MM-dd")
-    planned_hour = (F.hour(ts) - F.hour(ts) % 6)
-    planned = F.concat(day, F.lit("T"), F.lpad(planned_hour.cast("string"), 2, "0"),
-                       F.lit(":00:00+0100"))
-    late_seconds = _whole(F.col("value")) % 40 * 60 - 80
-    actual = F.timestamp_add(
-        "SECOND", late_seconds.cast("int") + planned_hour * 3600,
-        _moved_day(ts).cast("timestamp_ntz"))
-    kind = F.col("event_type")
-    return _table(spark, sf_dir, "events").select(
-        F.when(user % 50 != 3, kind).alias("direction"),
-        F.concat(F.lit("NS "), user.cast("string")).alias("name"),
-        planned.alias("plannedDateTime"),
-        F.when(user % 43 != 0,
-               F.concat(F.date_format(actual, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+0100")))
-        .alias("actualDateTime"),
-        F.when(user % 2 == 0, "IC").otherwise("SPR").alias("trainCategory"),
-        F.when(kind == "error", True).when(kind != "signup", False).alias("cancelled"),
-        F.when(user % 3 == 0, "DEPARTED").otherwise("INCOMING").alias("departureStatus"),
-        (user % 12 + 1).cast("string").alias("plannedTrack"),
-        ((user + _whole(F.col("value"))) % 12 + 1).cast("string").alias("actualTrack"),
-        F.concat(
-            F.lit('{"number": "'), user.cast("string"),
-            F.lit('", "operatorName": "'), _pick(lookups.operator_names(), user % 26),
-            F.lit('", "longCategoryName": "'),
-            F.when(user % 2 == 0, "Intercity").otherwise("Sprinter"), F.lit('"}'),
-        ).alias("product"),
-        F.lit("[]").alias("routeStations"),
-        _pick(lookups.station_codes(), user % 14).alias("_station_code"),
-        day.alias("_service_date"),
-        F.lit("ns_api_v2").alias("_source"),
-        ts.cast("timestamp").alias("_ingested_at"),
+    rows = _table(spark, sf_dir, "events").selectExpr(
+        "*", f"{_MOVED_DAY} as d", "hour(ts) - hour(ts) % 6 as planned_hour",
+        "floor(value) as v")
+    return rows.selectExpr(
+        "if(user_id % 50 <> 3, event_type, null) as direction",
+        "concat('NS ', user_id) as name",
+        "concat(d, 'T', lpad(string(planned_hour), 2, '0'), ':00:00+0100') as plannedDateTime",
+        """if(user_id % 43 <> 0, concat(date_format(timestampadd(SECOND,
+            cast(v % 40 * 60 - 80 + planned_hour * 3600 as int), cast(d as timestamp_ntz)),
+            "yyyy-MM-dd'T'HH:mm:ss"), '+0100'), null) as actualDateTime""",
+        "if(user_id % 2 = 0, 'IC', 'SPR') as trainCategory",
+        "case event_type when 'error' then true when 'signup' then null else false end"
+        " as cancelled",
+        "if(user_id % 3 = 0, 'DEPARTED', 'INCOMING') as departureStatus",
+        "string(user_id % 12 + 1) as plannedTrack",
+        "string((user_id + v) % 12 + 1) as actualTrack",
+        f"""concat('{{"number": "', user_id, '", "operatorName": "',
+            {_pick(lookups.operator_names(), 'user_id % 26')}, '", "longCategoryName": "',
+            if(user_id % 2 = 0, 'Intercity', 'Sprinter'), '"}}') as product""",
+        "'[]' as routeStations",
+        _pick(lookups.station_codes(), "user_id % 14") + " as _station_code",
+        "string(d) as _service_date",
+        "'ns_api_v2' as _source",
+        "cast(ts as timestamp) as _ingested_at",
     )
 
 
-_CAUSES = ["signal failure", "defective train", "collision", "staff shortage", "broken overhead line",
-           "level crossing fault", ""]
-_GROUPS = {"1-URGENT": "accidents", "2-HIGH": "infrastructure", "3-MEDIUM": "rolling stock",
-           "4-NOT SPECIFIED": "", "5-LOW": "weather"}
+CAUSES = ["signal failure", "defective train", "collision", "staff shortage",
+          "broken overhead line", "level crossing fault", ""]
+CAUSE_GROUPS = {"1-URGENT": "accidents", "2-HIGH": "infrastructure", "3-MEDIUM": "rolling stock",
+                "4-NOT SPECIFIED": "", "5-LOW": "weather"}
 
 
 def rdt_disruptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order is one archived disruption between 2011 and 2026 at one to three stations."""
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
     stations = lookups.station_codes()
-    tens = F.floor(key / 14).cast("bigint")
-    listed = F.slice(
-        F.array(_pick(stations, key % 14), _pick(stations, tens % 14),
-                _pick(stations, (key + cust) % 14)),
-        F.lit(1), (key % 3 + 1).cast("int"))
-    codes = (
-        F.when(key % 101 == 0, F.lit(None).cast("string"))
-        .when(key % 103 == 0, "")
-        .when(key % 2 == 0, F.array_join(listed, ","))
-        .otherwise(F.array_join(listed, ", "))
+    groups = " ".join(f"when '{p}' then '{g}'" for p, g in CAUSE_GROUPS.items())
+    begin = f"concat(d, ' ', {_clock('k % 1440')})"
+    rows = _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as k", "o_custkey as c", "o_orderpriority",
+        f"string({_day('2011-01-01', 'o_orderkey * 37 % 5600')}) as d",
+        f"""slice(array({_pick(stations, 'o_orderkey % 14')},
+            {_pick(stations, '(o_orderkey div 14) % 14')},
+            {_pick(stations, '(o_orderkey + o_custkey) % 14')}), 1, cast(o_orderkey % 3 + 1 as int))
+            as listed""",
     )
-    day = F.date_format(_day("2011-01-01", key * 37 % 5600), "yyyy-MM-dd")
-    duration = key * 7 % 240
-    begin = F.concat(day, F.lit(" "), _clock(key % 1440))
-    group = None
-    for priority, label in _GROUPS.items():
-        test = F.col("o_orderpriority") == priority
-        group = F.when(test, label) if group is None else group.when(test, label)
-    return _table(spark, sf_dir, "orders").select(
-        key.cast("string").alias("rdt_id"),
-        F.concat(F.lit("Line "), (key % 9).cast("string")).alias("ns_lines"),
-        F.concat(F.lit("Track "), (key % 9).cast("string")).alias("rdt_lines"),
-        (key % 9).cast("string").alias("rdt_lines_id"),
-        F.lit("").alias("rdt_station_names"),
-        codes.alias("rdt_station_codes"),
-        F.lit("").alias("cause_nl"),
-        _pick(_CAUSES, cust % 7).alias("cause_en"),
-        F.lit("").alias("statistical_cause_nl"),
-        F.when(cust % 5 != 0, _pick(_CAUSES, cust % 6)).alias("statistical_cause_en"),
-        F.when(cust % 13 != 0, group).alias("cause_group"),
-        begin.alias("start_time"),
-        F.date_format(
-            F.timestamp_add("MINUTE", duration.cast("int"), begin.cast("timestamp_ntz")),
-            "yyyy-MM-dd HH:mm:ss").alias("end_time"),
-        F.when(key % 17 != 0, duration).alias("duration_minutes"),
-        F.lit("rdt_archive").alias("_source"),
-        F.lit("2026-04-02 06:00:00").cast("timestamp").alias("_ingested_at"),
-        F.substring(day, 1, 4).alias("_year"),
+    return rows.selectExpr(
+        "string(k) as rdt_id",
+        "concat('Line ', k % 9) as ns_lines",
+        "concat('Track ', k % 9) as rdt_lines",
+        "string(k % 9) as rdt_lines_id",
+        "'' as rdt_station_names",
+        """case when k % 101 = 0 then null when k % 103 = 0 then ''
+            else array_join(listed, if(k % 2 = 0, ',', ', ')) end as rdt_station_codes""",
+        "'' as cause_nl",
+        _pick(CAUSES, "c % 7") + " as cause_en",
+        "'' as statistical_cause_nl",
+        f"if(c % 5 <> 0, {_pick(CAUSES, 'c % 6')}, null) as statistical_cause_en",
+        f"if(c % 13 <> 0, case o_orderpriority {groups} end, null) as cause_group",
+        f"{begin} as start_time",
+        f"date_format(timestampadd(MINUTE, cast(k * 7 % 240 as int), "
+        f"cast({begin} as timestamp_ntz)), 'yyyy-MM-dd HH:mm:ss') as end_time",
+        "if(k % 17 <> 0, k * 7 % 240, null) as duration_minutes",
+        "'rdt_archive' as _source",
+        "timestamp'2026-04-02 06:00:00' as _ingested_at",
+        "substring(d, 1, 4) as _year",
     )
 
 
 def ns_disruptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order is one live disruption, seen in two polls of the same day."""
-    key = F.col("o_orderkey")
     stations = lookups.station_codes()
-    day = F.date_format(_day("2026-01-01", key % 120), "yyyy-MM-dd")
-    poll = F.col("poll")
-
-    def section(*codes: Column) -> Column:
-        members = F.concat_ws(",", *[
-            F.concat(F.lit('{"stationCode":"'), c, F.lit('","name":"x"}')) for c in codes])
-        return F.concat(F.lit('{"section":{"stations":['), members, F.lit("]}}"))
-
-    first = section(_pick(stations, key % 14), _pick(stations, (key + 3) % 14))
-    second = section(_pick(stations, key % 14), _pick(stations, (key + 5) % 14))
-    label = _pick(_CAUSES[:6], key % 6)
-    cause = F.concat(F.lit('{"cause":{"label":"'), label, F.lit('"}}'))
-    return (
-        _table(spark, sf_dir, "orders")
-        .select("o_orderkey", F.explode(F.array(F.lit(1), F.lit(2))).alias("poll"))
-        .select(
-            F.concat(F.lit("D"), key.cast("string")).alias("id"),
-            F.when(key % 3 == 0, "MAINTENANCE").otherwise("DISRUPTION").alias("type"),
-            F.concat(F.lit("Disruption "), key.cast("string")).alias("title"),
-            (poll == 1).alias("isActive"),
-            F.when(key % 4 != 0, key % 4 == 1).alias("local"),
-            F.concat(day, F.lit("T08:00:00+0100")).alias("start"),
-            F.concat(day, F.lit("T"), _clock(key % 600 + 480 + poll), F.lit("+0100"))
-            .alias("end"),
-            F.when(key % 11 != 0, F.concat(day, F.lit("T07:55:00+0100")))
-            .alias("registrationTime"),
-            F.concat(F.lit('{"value":'), (key % 5 + 1).cast("string"), F.lit("}"))
-            .alias("impact"),
-            F.when(key % 19 != 0, F.concat(
-                F.lit("["), first,
-                F.when(poll == 2, F.concat(F.lit(","), second)).otherwise(""), F.lit("]")))
-            .alias("publicationSections"),
-            F.when(key % 7 == 0, F.lit('[{"period":"all day"}]'))
-            .when(key % 7 == 1, F.concat(F.lit('[{"period":"morning"},'), cause, F.lit("]")))
-            .otherwise(F.concat(F.lit("["), cause, F.lit("]"))).alias("timespans"),
-            day.alias("_service_date"),
-            F.lit("ns_api_v3").alias("_source"),
-            F.concat(day, F.lit(" "), _clock(poll * 300)).cast("timestamp")
-            .alias("_ingested_at"),
-        )
+
+    def section(*indexes: str) -> str:
+        members = ", ".join(
+            f"""concat('{{"stationCode":"', {_pick(stations, i)}, '","name":"x"}}')"""
+            for i in indexes)
+        return f"""concat('{{"section":{{"stations":[', concat_ws(',', {members}), ']}}}}')"""
+
+    cause = f"""concat('{{"cause":{{"label":"', {_pick(CAUSES[:6], 'k % 6')}, '"}}}}')"""
+    rows = _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as k", f"string({_day('2026-01-01', 'o_orderkey % 120')}) as d",
+        "explode(array(1, 2)) as poll")
+    return rows.selectExpr(
+        "concat('D', k) as id",
+        "if(k % 3 = 0, 'MAINTENANCE', 'DISRUPTION') as type",
+        "concat('Disruption ', k) as title",
+        "poll = 1 as isActive",
+        "if(k % 4 <> 0, k % 4 = 1, null) as local",
+        "concat(d, 'T08:00:00+0100') as start",
+        f"concat(d, 'T', {_clock('k % 600 + 480 + poll')}, '+0100') as end",
+        "if(k % 11 <> 0, concat(d, 'T07:55:00+0100'), null) as registrationTime",
+        """concat('{"value":', k % 5 + 1, '}') as impact""",
+        f"""if(k % 19 <> 0, concat('[', {section('k % 14', '(k + 3) % 14')},
+            if(poll = 2, concat(',', {section('k % 14', '(k + 5) % 14')}), ''), ']'), null)
+            as publicationSections""",
+        f"""case k % 7 when 0 then '[{{"period":"all day"}}]'
+            when 1 then concat('[{{"period":"morning"}},', {cause}, ']')
+            else concat('[', {cause}, ']') end as timespans""",
+        "d as _service_date",
+        "'ns_api_v3' as _source",
+        f"cast(concat(d, ' ', {_clock('poll * 300')}) as timestamp) as _ingested_at",
     )
 
 
 def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer is one reading in tenths of a unit, at five stations over 120 days."""
-    key = F.col("c_custkey")
-    tg, fg = key * 7 % 350 - 50, key * 11 % 260
-    return _table(spark, sf_dir, "customer").select(
-        _pick(list(weather.STATION_REGIONS), key % 5).alias("station_code"),
-        F.concat(
-            F.date_format(_day("2026-01-01", F.floor(key / 5) % 120), "yyyy-MM-dd"),
-            F.lit("T00:00:00.000Z")).alias("date"),
-        tg.alias("TG"), (tg - 30 - key % 20).alias("TN"), (tg + 30 + key % 40).alias("TX"),
-        F.when(key % 23 != 0, key % 150 - 1).alias("RH"),
-        (key % 120).alias("DR"), fg.alias("FG"), (fg + 40 + key % 60).alias("FHX"),
-        (key * 13 % 360).alias("DDVEC"),
+    rows = _table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as k", "c_custkey * 7 % 350 - 50 as TG", "c_custkey * 11 % 260 as FG")
+    return rows.selectExpr(
+        _pick(list(weather.STATION_REGIONS), "k % 5") + " as station_code",
+        f"concat({_day('2026-01-01', '(k div 5) % 120')}, 'T00:00:00.000Z') as date",
+        "TG", "TG - 30 - k % 20 as TN", "TG + 30 + k % 40 as TX",
+        "if(k % 23 <> 0, k % 150 - 1, null) as RH",
+        "k % 120 as DR", "FG", "FG + 40 + k % 60 as FHX", "k * 13 % 360 as DDVEC",
     )
 
 
@@ -245,17 +204,14 @@ def knmi_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ndw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event is one road reading, some of them at locations nobody mapped."""
-    ts = F.col("ts")
-    quarter = F.timestamp_add(
-        "MINUTE", (F.hour(ts) * 60 + F.minute(ts) - F.minute(ts) % 15).cast("int"),
-        _moved_day(ts).cast("timestamp_ntz"))
-    return _table(spark, sf_dir, "events").select(
-        F.coalesce(_pick(lookups.road_locations(), F.col("user_id") % 45),
-                   F.lit("UNMAPPED-1")).alias("location_id"),
-        F.date_format(quarter, "yyyy-MM-dd HH:mm:ss").alias("measurement_ts"),
-        F.date_format(_moved_day(ts), "yyyy-MM-dd").alias("service_date"),
-        (F.col("value") + 20).alias("avg_speed_kmh"),
-        (F.col("event_id") % 50).alias("vehicle_count"),
+    return _table(spark, sf_dir, "events").selectExpr(
+        f"coalesce({_pick(lookups.road_locations(), 'user_id % 45')}, 'UNMAPPED-1')"
+        " as location_id",
+        f"""date_format(timestampadd(MINUTE, hour(ts) * 60 + minute(ts) - minute(ts) % 15,
+            cast({_MOVED_DAY} as timestamp_ntz)), 'yyyy-MM-dd HH:mm:ss') as measurement_ts""",
+        f"string({_MOVED_DAY}) as service_date",
+        "value + 20 as avg_speed_kmh",
+        "event_id % 50 as vehicle_count",
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from linewatch.sources import lookups, weather
-from linewatch.sources.stand_in import _CAUSES, _GROUPS
+from linewatch.sources.stand_in import CAUSES, CAUSE_GROUPS
 from oracle.build import pick, rnd, values_table
 
 STATIONS = lookups.station_codes()
@@ -78,10 +78,10 @@ CTES["order_causes"] = f"""
     select o_orderkey as k, o_custkey as c,
         date '2011-01-01' + cast(o_orderkey * 37 % 5600 as integer) as d,
         case when o_orderkey % 17 <> 0 then o_orderkey * 7 % 240 end as duration_minutes,
-        {pick(_CAUSES, 'o_custkey % 7')} as cause,
-        case when o_custkey % 5 <> 0 then {pick(_CAUSES, 'o_custkey % 6')} end as statistical_cause,
+        {pick(CAUSES, 'o_custkey % 7')} as cause,
+        case when o_custkey % 5 <> 0 then {pick(CAUSES, 'o_custkey % 6')} end as statistical_cause,
         case when o_custkey % 13 <> 0 then case o_orderpriority
-            {' '.join(f"when '{k}' then '{v}'" for k, v in _GROUPS.items())} end
+            {' '.join(f"when '{k}' then '{v}'" for k, v in CAUSE_GROUPS.items())} end
         end as cause_group,
         {pick(STATIONS, 'o_orderkey % 14')} as s1,
         {pick(STATIONS, '(o_orderkey // 14) % 14')} as s2,
@@ -132,7 +132,7 @@ CTES["stg_live_disruptions"] = f"""
     select 'D' || o_orderkey as disruption_id,
         date '2026-01-01' + cast(o_orderkey % 120 as integer) as service_date, o_orderkey as k,
         case when o_orderkey % 3 = 0 then 'MAINTENANCE' else 'DISRUPTION' end as disruption_type,
-        case when o_orderkey % 7 <> 0 then {pick(_CAUSES[:6], 'o_orderkey % 6')} end as cause,
+        case when o_orderkey % 7 <> 0 then {pick(CAUSES[:6], 'o_orderkey % 6')} end as cause,
         case when o_orderkey % 19 = 0 then []::varchar[] else list_sort(list_distinct([
             {pick(STATIONS, 'o_orderkey % 14')}, {pick(STATIONS, '(o_orderkey + 3) % 14')},
             {pick(STATIONS, '(o_orderkey + 5) % 14')}])) end as codes

@@ -113,6 +113,7 @@ add("departures_without_archive", f"""
 add("departure_rollup", f"""
     select station_code, operator_name, {days('service_date')}, count(*) as departures,
         count(delay_minutes) as with_delay, sum(delay_minutes)::bigint as delay_sum,
+        max(delay_minutes) as delay_max,
         count(*) filter (delay_minutes <= 0) as at_most_0,
         count(*) filter (delay_minutes <= 1) as at_most_1,
         count(*) filter (delay_minutes > 0) as over_0,
