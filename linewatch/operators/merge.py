@@ -23,6 +23,24 @@ def merged_rows(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFra
     return kept.select(*delta.columns).unionByName(delta)
 
 
+def touched_partitions(
+    target: DataFrame, new_rows: DataFrame, partition_by: str,
+) -> DataFrame | None:
+    """Target rows in partitions that new_rows has rows for; None when there are no new rows.
+
+    The range of the new rows, one row that comes to the driver, prunes the
+    partitions to list and read; the semi join then keeps the exact ones.
+    """
+    value = F.col(partition_by)
+    low, high, count = new_rows.agg(F.min(value), F.max(value), F.count(F.lit(1))).first()
+    if count == 0:
+        return None
+    nearby = target.where(value.isNull() | value.between(F.lit(low), F.lit(high)))
+    touched = new_rows.select(partition_by).distinct()
+    return nearby.alias("t").join(
+        touched.alias("d"), same_key("t", "d", [partition_by]), "left_semi")
+
+
 def incremental_merge(
     spark: SparkSession, path: str, delta: DataFrame, keys: list[str],
     partition_by: str = "service_date", cluster_by: list[str] | None = None,
@@ -31,8 +49,7 @@ def incremental_merge(
 
     delta is written to scratch first: it is computed once, its size is known
     to the joins below, and the new partitions never depend on files that are
-    about to be replaced. The target is read through a semi join on the
-    touched partition values, which Spark turns into partition pruning.
+    about to be replaced.
     """
     if sinks.read_if_present(spark, path) is None:
         sinks.write_table(delta, path, [partition_by], cluster_by)
@@ -40,9 +57,10 @@ def incremental_merge(
     delta_path = scratch_path(spark, "merge-delta")
     delta.write.parquet(delta_path)
     new_rows = spark.read.parquet(delta_path)
-    touched = new_rows.select(partition_by).distinct()
-    target = spark.read.schema(new_rows.schema).parquet(path).join(
-        touched, partition_by, "left_semi")
+    target = touched_partitions(
+        spark.read.schema(new_rows.schema).parquet(path), new_rows, partition_by)
+    if target is None:
+        return
     merged_path = scratch_path(spark, "merge-result")
     merged_rows(target, new_rows, keys).write.parquet(merged_path)
     sinks.overwrite_partitions(

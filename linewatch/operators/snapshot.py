@@ -13,16 +13,16 @@ from linewatch.sources import sinks
 VERSION_COLUMNS = ["version_id", "valid_from", "valid_to"]
 
 
-def _version_id(source: str, keys: list[str], as_of: Column) -> Column:
-    """Equal key and day give the same id, so a repeated run gives the same rows."""
-    parts = [F.coalesce(F.col(f"{source}.{k}").cast("string"), F.lit("\0")) for k in keys]
+def _version_id(source: str, columns: list[str], as_of: Column) -> Column:
+    """Equal values on the same day give the same id, so a repeated run gives the same rows."""
+    parts = [F.coalesce(F.col(f"{source}.{c}").cast("string"), F.lit("\0")) for c in columns]
     return F.sha2(F.concat_ws("|", *parts, as_of.cast("string")), 256)
 
 
-def _first_versions(current: DataFrame, keys: list[str], as_of: Column) -> DataFrame:
+def _first_versions(current: DataFrame, identified_by: list[str], as_of: Column) -> DataFrame:
     return current.alias("c").select(
         *[F.col(f"c.{c}") for c in current.columns],
-        _version_id("c", keys, as_of).alias("version_id"),
+        _version_id("c", identified_by, as_of).alias("version_id"),
         as_of.alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
 
 
@@ -35,8 +35,9 @@ def next_versions(
     vanished stay open. The keys must be unique in current.
     """
     day = F.lit(as_of).cast("date")
+    identified_by = keys + [c for c in check if c not in keys]
     if history is None:
-        return _first_versions(current, keys, day)
+        return _first_versions(current, identified_by, day)
     columns = current.columns
     is_open = F.col("valid_to").isNull()
     both = history.where(is_open).alias("h").join(
@@ -56,7 +57,7 @@ def next_versions(
         lambda a, b: a & b, [F.col(f"h.{c}").eqNullSafe(F.col(f"c.{c}")) for c in check])
     old = F.when(in_history, version(
         "h", F.col("h.version_id"), F.col("h.valid_from"), F.when(changed, day)))
-    new = F.when(changed | ~in_history, version("c", _version_id("c", keys, day), day, nothing))
+    new = F.when(changed | ~in_history, version("c", _version_id("c", identified_by, day), day, nothing))
     versions = F.filter(F.array(old, new), lambda v: v.isNotNull())
     stepped = both.select(F.explode(versions).alias("v")).select("v.*")
     return history.where(~is_open).select(*stepped.columns).unionByName(stepped)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from linewatch.operators import merge, quality, snapshot
 from linewatch.operators.rollup import departure_rollup
@@ -31,12 +32,17 @@ class Refresh:
     ):
         self.spark, self.feeds, self.root, self.as_of = spark, feeds, root.rstrip("/"), as_of
         self.lookup_folder = lookup_folder
+        self._schemas: dict[str, StructType] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A written table. The schema is known for those of this run, also without any row."""
+        reader = self.spark.read
+        if name in self._schemas:
+            reader = reader.schema(self._schemas[name])
+        return reader.parquet(self.path(name))
 
     def lookup(self, name: str) -> DataFrame:
         return lookups.lookup(self.spark, name, self.lookup_folder)
@@ -57,6 +63,7 @@ class Refresh:
         return staged
 
     def _write(self, name: str, df: DataFrame, day: bool = True, cluster: str | None = None):
+        self._schemas[name] = df.schema
         sinks.write_table(df, self.path(name), ["service_date"] if day else None,
                           [cluster] if cluster else None)
         return self.table(name)
