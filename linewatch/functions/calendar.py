@@ -51,3 +51,10 @@ def date_spine(spark: SparkSession, first: dt.date | str, last: dt.date | str) -
     """One row per day from first to last, both included."""
     days = F.sequence(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
     return spark.range(1).select(F.explode(days).alias("date_day"))
+
+
+def recent_days(df: DataFrame, day: str, as_of: str | None, days: int = 30) -> DataFrame:
+    """Development scope: rows of the last days before as_of, and later ones. None is no scope."""
+    if as_of is None:
+        return df
+    return df.where(F.col(day).cast("date") >= F.date_sub(F.lit(as_of).cast("date"), days))

@@ -23,15 +23,18 @@ def reliability_alerts(
 ) -> DataFrame:
     """Corridors that are below the threshold and well below their recent mean on a day.
 
-    The mean covers the day and the seven before it.
+    The mean covers the day and the seven before it; a corridor has eight rows
+    in the window at most.
     """
     day = F.lit(service_date).cast("date")
     recent = mart.where(F.col("service_date").between(F.date_sub(day, LOOKBACK_DAYS), day))
-    means = recent.groupBy("corridor_id").agg(F.avg("pct_on_time").alias("avg_7d_pct_on_time"))
-    on_day = mart.where(F.col("service_date") == day).select(
-        "corridor_id", "corridor_name", "pct_on_time")
-    return on_day.join(means, "corridor_id", "left").where(
-        _fires(F.col("avg_7d_pct_on_time"), on_time_threshold, deviation_threshold))
+    mean = F.avg("pct_on_time").over(Window.partitionBy("corridor_id"))
+    return (
+        recent.withColumn("avg_7d_pct_on_time", mean)
+        .where(F.col("service_date") == day)
+        .select("corridor_id", "corridor_name", "pct_on_time", "avg_7d_pct_on_time")
+        .where(_fires(F.col("avg_7d_pct_on_time"), on_time_threshold, deviation_threshold))
+    )
 
 
 def reliability_alerts_all_days(

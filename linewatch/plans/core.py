@@ -79,17 +79,20 @@ def fct_train_performance(
 
 
 def fct_road_traffic(int_ndw_traffic_daily: DataFrame, dim_ndw_locations: DataFrame) -> DataFrame:
-    """Road-point-day facts relative to the road point's own mean speed."""
-    baseline = int_ndw_traffic_daily.groupBy("location_id").agg(
-        F.avg("avg_speed_kmh").alias("baseline_speed_kmh"))
-    relative = F.try_divide(F.col("avg_speed_kmh"), F.col("baseline_speed_kmh")) * 100.0
+    """Road-point-day facts relative to the road point's own mean speed.
+
+    The mean is a window over the daily rows, so the readings below are
+    aggregated once; a road point has as many rows here as there are days.
+    """
+    baseline = F.avg("avg_speed_kmh").over(Window.partitionBy("location_id"))
+    relative = F.try_divide(F.col("avg_speed_kmh"), F.col("_baseline")) * 100.0
     return (
-        int_ndw_traffic_daily
+        int_ndw_traffic_daily.withColumn("_baseline", baseline)
         .join(dim_ndw_locations.select("location_id", "corridor_id"), "location_id", "left")
-        .join(baseline, "location_id", "left")
         .select("location_id", "service_date", "corridor_id", "avg_speed_kmh",
                 "total_vehicle_count", "congestion_minutes",
-                stable_round(relative, 2).alias("speed_vs_baseline_pct"))
+                F.when(F.col("location_id").isNotNull(), stable_round(relative, 2))
+                .alias("speed_vs_baseline_pct"))
     )
 
 

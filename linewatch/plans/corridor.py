@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from linewatch.functions import calendar
 from linewatch.operators import rollup
@@ -23,34 +23,42 @@ def volume_and_delay_trend(days: DataFrame, grain: str = "W") -> DataFrame:
     """Sums and means per period, with a row for every period in between.
 
     Periods carry the label of their last day. One without rows has sums of 0
-    and no means.
+    and no means. Each period fills the gap up to the next one itself, so the
+    days are aggregated once; the window runs over the periods only.
     """
-    end = calendar.closing_period("service_date", grain)
-    per_period = days.groupBy(end.alias("period_start")).agg(
+    period = F.col("period_start")
+    per_period = days.groupBy(
+        calendar.closing_period("service_date", grain).alias("period_start")
+    ).agg(
         F.sum("total_departures").alias("total_departures"),
         F.avg("avg_delay_min").alias("avg_delay_min"),
         F.sum("disruption_count").alias("disruption_count"),
         F.avg("severe_delay_share").alias("severe_delay_share"),
     )
+    next_period = F.lead("period_start").over(Window.orderBy("period_start"))
+    following = F.coalesce("_next", F.date_add(period, 1))
     if grain == "W":
-        steps = F.sequence("_first", "_last", F.expr("interval 7 days"))
+        steps = F.sequence(period, F.date_sub(following, 1), F.expr("interval 7 days"))
     else:
         steps = F.transform(
-            F.sequence(F.trunc("_first", "MM"), F.trunc("_last", "MM"), F.expr("interval 1 month")),
+            F.sequence(F.trunc(period, "MM"), F.date_sub(F.trunc(following, "MM"), 1),
+                       F.expr("interval 1 month")),
             lambda d: F.last_day(d))
-    spine = days.agg(F.min(end).alias("_first"), F.max(end).alias("_last")).select(
-        F.explode(steps).alias("period_start"))
-    return (
-        spine.join(per_period, "period_start", "left")
-        .select(
-            "period_start",
-            F.coalesce("total_departures", F.lit(0)).cast("bigint").alias("total_departures"),
-            "avg_delay_min",
-            F.coalesce("disruption_count", F.lit(0)).cast("bigint").alias("disruption_count"),
-            "severe_delay_share",
-        )
-        .orderBy("period_start")
-    )
+    filled = per_period.where(period.isNotNull()).withColumn("_next", next_period).select(
+        "*", F.posexplode(steps).alias("_nth", "_period"))
+    has_rows = F.col("_nth") == 0
+
+    def amount(name: str) -> Column:
+        known = F.when(has_rows, F.col(name))
+        return F.coalesce(known, F.lit(0)).cast("bigint").alias(name)
+
+    def mean(name: str) -> Column:
+        return F.when(has_rows, F.col(name)).alias(name)
+
+    return filled.select(
+        F.col("_period").alias("period_start"), amount("total_departures"),
+        mean("avg_delay_min"), amount("disruption_count"), mean("severe_delay_share"),
+    ).orderBy("period_start")
 
 
 def station_performance(
@@ -104,9 +112,10 @@ def top_causes(
     corridor_id: int, first: str, last: str, n: int = 12,
 ) -> DataFrame:
     """The most frequent causes in a corridor; a disruption counts once per station it names."""
-    def named_stations(disruptions: DataFrame, cause) -> DataFrame:
+    def named_stations(disruptions: DataFrame, cause: Column) -> DataFrame:
         return in_range(disruptions, first, last).select(
-            cause.alias("cause_family"), F.explode("affected_station_codes").alias("station_code"))
+            cause.alias("cause_family"),
+            F.explode_outer("affected_station_codes").alias("station_code"))
 
     both = named_stations(stg_rdt_disruptions, archive_cause()).unionByName(
         named_stations(stg_ns_disruptions, live_cause()))

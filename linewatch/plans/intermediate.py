@@ -53,14 +53,19 @@ def int_departures_combined(
 
 
 def disruptions_per_station_day(*disruptions: DataFrame) -> DataFrame:
-    """Distinct disruptions that name a station, per day."""
+    """Distinct disruptions that name a station, per day.
+
+    explode_outer with a filter behind it: for a plain explode the optimizer
+    adds a size test below, which would parse the JSON of the list twice.
+    """
     columns = ["disruption_id", "service_date", "affected_station_codes"]
     both = disruptions[0].select(*columns)
     for other in disruptions[1:]:
         both = both.unionByName(other.select(*columns))
     return (
         both.select("disruption_id", "service_date",
-                    F.explode("affected_station_codes").alias("station_code"))
+                    F.explode_outer("affected_station_codes").alias("station_code"))
+        .where(F.col("station_code").isNotNull())
         .groupBy("station_code", "service_date")
         .agg(F.countDistinct("disruption_id").alias("disruption_count"))
     )

@@ -7,12 +7,20 @@ from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linewatch.functions.calendar import recent_days
 from linewatch.operators.rollup import departure_rollup
 from linewatch.plans import core, intermediate, staging, system
+from linewatch.schemas import LOOKUPS
 from linewatch.sources import lookups, stand_in
 
 FEEDS = ["rdt_services", "ns_departures", "rdt_disruptions", "ns_disruptions", "knmi_weather",
          "ndw_traffic_flow"]
+MODELS = [
+    "stg_rdt_services", "stg_rdt_disruptions", "stg_ns_departures", "stg_ns_disruptions",
+    "stg_knmi_weather", "stg_ndw_traffic_flow", "int_departures_combined", "departure_rollup",
+    "int_train_delays_daily", "int_ndw_traffic_daily", "dim_stations", "dim_date",
+    "dim_ndw_locations", "fct_train_performance", "fct_road_traffic", "dm_multimodal_daily",
+]
 
 
 class LazyFeeds(Mapping):
@@ -37,14 +45,25 @@ class Models:
     """Names every model; asking for one puts its plan together, nothing runs."""
 
     def __init__(self, spark: SparkSession, feeds: Mapping[str, DataFrame],
-                 lookup_folder: str | None = None):
+                 lookup_folder: str | None = None, recent_as_of: str | None = None):
         self.spark, self.feeds, self.lookup_folder = spark, feeds, lookup_folder
+        self.recent_as_of = recent_as_of
 
     @classmethod
     def on_given_tables(cls, spark: SparkSession, sf_dir: str) -> Models:
         return cls(spark, LazyFeeds(
             {f: partial(getattr(stand_in, f), spark, sf_dir) for f in FEEDS}))
 
+    def _recent(self, feed: str, day: str) -> DataFrame:
+        return recent_days(self.feeds[feed], day, self.recent_as_of)
+
+    def create_views(self) -> None:
+        """Temporary views of all models and lookup tables, for queries written in SQL."""
+        for name in MODELS:
+            getattr(self, name).createOrReplaceTempView(name)
+        for name in LOOKUPS:
+            self.lookup(name).createOrReplaceTempView(name)
+
     def lookup(self, name: str) -> DataFrame:
         return lookups.lookup(self.spark, name, self.lookup_folder)
 
@@ -58,11 +77,11 @@ class Models:
 
     @cached_property
     def stg_ns_departures(self) -> DataFrame:
-        return staging.stg_ns_departures(self.feeds["ns_departures"])
+        return staging.stg_ns_departures(self._recent("ns_departures", "_service_date"))
 
     @cached_property
     def stg_ns_disruptions(self) -> DataFrame:
-        return staging.stg_ns_disruptions(self.feeds["ns_disruptions"])
+        return staging.stg_ns_disruptions(self._recent("ns_disruptions", "_service_date"))
 
     @cached_property
     def stg_knmi_weather(self) -> DataFrame:
@@ -70,7 +89,8 @@ class Models:
 
     @cached_property
     def stg_ndw_traffic_flow(self) -> DataFrame:
-        return staging.stg_ndw_traffic_flow(self.feeds["ndw_traffic_flow"], self.spark)
+        return staging.stg_ndw_traffic_flow(
+            self._recent("ndw_traffic_flow", "service_date"), self.spark)
 
     @cached_property
     def int_departures_combined(self) -> DataFrame:

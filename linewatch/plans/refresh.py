@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from linewatch.functions.calendar import recent_days
 from linewatch.operators import merge, quality, snapshot
 from linewatch.operators.rollup import departure_rollup
 from linewatch.plans import alerts, core, intermediate, staging, system
@@ -20,7 +21,8 @@ class Refresh:
 
     feeds maps rdt_services, ns_departures, rdt_disruptions, ns_disruptions,
     knmi_weather and ndw_traffic_flow to DataFrames. rdt_services, knmi_weather
-    and ndw_traffic_flow may be absent. Staging stays lazy; every model from
+    and ndw_traffic_flow may be absent. recent_only limits the live feeds to the
+    last 30 days, for development. Staging stays lazy; every model from
     the combined departures on is written once and read back, so later models
     and reports scan columnar files of known size instead of repeating the
     work, and lost executors cost no more than the running stage.
@@ -28,10 +30,11 @@ class Refresh:
 
     def __init__(
         self, spark: SparkSession, feeds: dict[str, DataFrame | None], root: str, as_of: str,
-        lookup_folder: str | None = None,
+        lookup_folder: str | None = None, recent_only: bool = False,
     ):
         self.spark, self.feeds, self.root, self.as_of = spark, feeds, root.rstrip("/"), as_of
         self.lookup_folder = lookup_folder
+        self.recent_as_of = as_of if recent_only else None
         self._schemas: dict[str, StructType] = {}
 
     def path(self, table: str) -> str:
@@ -49,12 +52,19 @@ class Refresh:
 
     def staging(self) -> dict[str, DataFrame]:
         feeds = self.feeds
+
+        def recent(feed: str, day: str) -> DataFrame | None:
+            df = feeds.get(feed)
+            return None if df is None else recent_days(df, day, self.recent_as_of)
+
         staged = {
-            "stg_ns_departures": staging.stg_ns_departures(feeds["ns_departures"]),
-            "stg_ns_disruptions": staging.stg_ns_disruptions(feeds["ns_disruptions"]),
+            "stg_ns_departures": staging.stg_ns_departures(
+                recent("ns_departures", "_service_date")),
+            "stg_ns_disruptions": staging.stg_ns_disruptions(
+                recent("ns_disruptions", "_service_date")),
             "stg_rdt_disruptions": staging.stg_rdt_disruptions(feeds["rdt_disruptions"]),
             "stg_ndw_traffic_flow": staging.stg_ndw_traffic_flow(
-                feeds.get("ndw_traffic_flow"), self.spark),
+                recent("ndw_traffic_flow", "service_date"), self.spark),
         }
         if feeds.get("rdt_services") is not None:
             staged["stg_rdt_services"] = staging.stg_rdt_services(feeds["rdt_services"])
@@ -62,6 +72,11 @@ class Refresh:
             staged["stg_knmi_weather"] = staging.stg_knmi_weather(feeds["knmi_weather"])
         return staged
 
+    def create_views(self) -> None:
+        """Temporary views of the tables of this run, for queries written in SQL."""
+        for name in self._schemas:
+            self.table(name).createOrReplaceTempView(name)
+
     def _write(self, name: str, df: DataFrame, day: bool = True, cluster: str | None = None):
         self._schemas[name] = df.schema
         sinks.write_table(df, self.path(name), ["service_date"] if day else None,
@@ -99,6 +114,7 @@ class Refresh:
             self._write("fct_train_performance", core.fct_train_performance(delays, stations),
                         cluster="station_code")
         else:
+            self._schemas["fct_train_performance"] = fact.schema
             merge.incremental_merge(
                 self.spark, fact_path, fact, FACT_KEY, cluster_by=["station_code"])
         road_fact = self._write("fct_road_traffic", core.fct_road_traffic(roads, locations),

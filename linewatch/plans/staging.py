@@ -109,7 +109,7 @@ def _distinct_station_codes(sections_json: Column) -> Column:
             F.transform(s["section"]["stations"], lambda st: st["stationCode"]),
             F.array().cast("array<string>"))))
     known = F.filter(codes, lambda c: c.isNotNull())
-    return F.coalesce(F.array_sort(F.array_distinct(known)), F.array().cast("array<string>"))
+    return F.coalesce(F.sort_array(F.array_distinct(known)), F.array().cast("array<string>"))
 
 
 def _first_cause(timespans_json: Column) -> Column:

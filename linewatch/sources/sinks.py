@@ -117,8 +117,3 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         if error.getCondition() in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
             return None
         raise
-
-
-def recent_days(df: DataFrame, day: str, as_of: str, days: int = 30) -> DataFrame:
-    """Development scope: rows of the last days before as_of, and later ones."""
-    return df.where(F.col(day).cast("date") >= F.date_sub(F.lit(as_of).cast("date"), days))

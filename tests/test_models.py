@@ -7,12 +7,13 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from linewatch.functions.calendar import recent_days
 from linewatch.operators.quantile import grouped_quantile
 from linewatch.operators.rollup import departure_rollup
 from linewatch.operators.skew import join_per_key
 from linewatch.plans import core, intermediate, staging
 from linewatch.schemas import ROAD_MART_COLUMNS, WEATHER_MART_COLUMNS
-from linewatch.sources import lookups, sinks
+from linewatch.sources import lookups
 
 D = dt.date
 BOARD = ("direction string, name string, plannedDateTime string, actualDateTime string, "
@@ -282,4 +283,15 @@ def test_mart_types_do_not_depend_on_the_feeds(spark):
 
 def test_recent_days(spark):
     days = spark.createDataFrame([("2026-03-01",), ("2026-03-02",)], "d string")
-    assert sinks.recent_days(days, "d", "2026-04-01").count() == 1
+    assert recent_days(days, "d", "2026-04-01").count() == 1
+    assert recent_days(days, "d", None).count() == 2
+
+
+def test_development_scope_of_the_models(spark):
+    from linewatch.plans.models import Models
+    whole = Models.on_given_tables(spark, "/root/testdata/sf0.001")
+    recent = Models(spark, whole.feeds, recent_as_of="2026-05-10")
+    for model in ("stg_ns_departures", "stg_ns_disruptions", "stg_ndw_traffic_flow"):
+        first = getattr(recent, model).agg(F.min("service_date")).first()[0]
+        assert first >= D(2026, 4, 10), model
+    assert recent.stg_rdt_services.count() == whole.stg_rdt_services.count()

@@ -129,3 +129,8 @@ def test_latest_per_key_orders_completely(spark, rows):
 
 def test_staging_of_the_archive_is_one_stage(models):
     assert "Exchange" not in physical(staging.stg_rdt_services(models.feeds["rdt_services"]))
+
+
+def test_partitioned_writes_are_rebalanced(spark):
+    df = spark.range(10).selectExpr("id", "date'2026-03-01' as day")
+    assert "REBALANCE_PARTITIONS_BY_COL" in physical(sinks._rebalanced(df, ["day"]))
