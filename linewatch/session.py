@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # recording the call site of every expression doubles the time to put a plan together
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
