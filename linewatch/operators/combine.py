@@ -10,8 +10,12 @@ def union_by_priority(preferred: DataFrame, fallback: DataFrame, day: str) -> Da
 
     NOT IN semantics: a preferred row without a day hides every fallback row,
     and a fallback row without a day is dropped unless the preferred side is
-    empty. Spark plans it as a null-aware broadcast anti join. What is
-    broadcast is the distinct days, a few thousand values for decades of data.
+    empty. Spark plans it as a null-aware anti join and broadcasts the inner
+    side whatever its size. Here that side is the distinct values of a date
+    column: at most one per calendar day, so some thousands for decades of
+    data, however many rows there are. The column must therefore be a date.
     """
+    if dict(preferred.dtypes)[day] != "date":
+        raise TypeError(f"{day} must be a date, it bounds what is broadcast")
     covered = preferred.select(day).distinct()
     return preferred.unionByName(fallback.where(~F.col(day).isin(covered)))

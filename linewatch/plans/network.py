@@ -24,9 +24,16 @@ def in_range(df: DataFrame, first: str, last: str) -> DataFrame:
 
 
 def network_days(mart: DataFrame, first: str, last: str) -> DataFrame:
-    """Daily series of all corridors."""
-    return in_range(mart, first, last).select(*OVERVIEW_COLUMNS).orderBy(
-        "service_date", "corridor_name")
+    """The days of all corridors, the base of the overview reports.
+
+    Left in no order: a sort below an aggregation of doubles would be kept.
+    """
+    return in_range(mart, first, last).select(*OVERVIEW_COLUMNS)
+
+
+def daily_series(days: DataFrame) -> DataFrame:
+    """Corridor-days in the order in which they are shown."""
+    return days.orderBy("service_date", "corridor_name")
 
 
 def headline_figures(days: DataFrame) -> DataFrame:

@@ -133,7 +133,7 @@ def _network_days(m: Models) -> DataFrame:
     return network.network_days(m.dm_multimodal_daily, FIRST, LAST)
 
 
-over_models("network_days")(_network_days)
+over_models("network_days")(lambda m: network.daily_series(_network_days(m)))
 over_models("network_headline")(lambda m: network.headline_figures(_network_days(m)))
 over_models("service_volume_weekly")(lambda m: network.service_volume(_network_days(m), "W"))
 over_models("service_volume_monthly")(lambda m: network.service_volume(_network_days(m), "M"))
@@ -158,7 +158,7 @@ def _corridor_days(m: Models) -> DataFrame:
 
 
 over_models("corridors")(lambda m: corridor.corridors(m.dm_multimodal_daily))
-over_models("corridor_days")(_corridor_days)
+over_models("corridor_days")(lambda m: network.daily_series(_corridor_days(m)))
 over_models("corridor_headline")(lambda m: network.headline_figures(_corridor_days(m)))
 over_models("corridor_trend_weekly")(
     lambda m: corridor.volume_and_delay_trend(_corridor_days(m), "W"))
@@ -182,7 +182,7 @@ def _weather_days(m: Models) -> DataFrame:
     return weather_impact.weather_days(m.dm_multimodal_daily, FIRST, LAST)
 
 
-over_models("weather_days")(_weather_days)
+over_models("weather_days")(lambda m: network.daily_series(_weather_days(m)))
 for _report in ("condition_summary", "wind_bins", "rain_bins", "temperature_bins",
                 "seasonal_summary", "wind_sensitivity"):
     over_models(f"weather_{_report}")(

@@ -67,6 +67,17 @@ def test_reports_prune_days_and_columns(spark, models, tmp_path):
         "corridor_name", "total_departures", "disruption_count"}
 
 
+def test_aggregated_reports_sort_only_their_result(spark):
+    plan = physical(REGISTRY["weather_condition_summary"](spark, SMALL))
+    assert plan.count("rangepartitioning") == 1
+
+
+def test_priority_is_by_date_only(spark):
+    df = spark.createDataFrame([("a",)], "day string")
+    with pytest.raises(TypeError):
+        union_by_priority(df, df, "day")
+
+
 def test_lookups_are_broadcast_without_hints(spark, models):
     rollup = models.departure_rollup
     stats = intermediate.int_train_delays_daily(
