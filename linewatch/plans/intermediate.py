@@ -52,6 +52,23 @@ def int_departures_combined(
     return union_by_priority(archive_departures(stg_rdt_services), live, "service_date")
 
 
+def rollup_by_priority(
+    stg_ns_departures: DataFrame, stg_rdt_services: DataFrame | None,
+) -> DataFrame:
+    """The rollup of the combined departures, each source rolled up on its own.
+
+    The sources never share a day in the combined departures, so the two
+    rollups have no key in common. The archive need not wait for its days to be
+    known, and the anti join sees station-days instead of departures.
+    """
+    live = rollup.departure_rollup(stg_ns_departures)
+    if stg_rdt_services is None:
+        return live
+    archive = archive_departures(stg_rdt_services)
+    return union_by_priority(
+        rollup.departure_rollup(archive), live, "service_date", covering=archive)
+
+
 def disruptions_per_station_day(*disruptions: DataFrame) -> DataFrame:
     """Distinct disruptions that name a station, per day.
 

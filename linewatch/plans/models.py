@@ -8,7 +8,6 @@ from functools import cached_property, partial
 from pyspark.sql import DataFrame, SparkSession
 
 from linewatch.functions.calendar import recent_days
-from linewatch.operators.rollup import departure_rollup
 from linewatch.plans import core, intermediate, staging, system
 from linewatch.schemas import LOOKUPS
 from linewatch.sources import lookups, stand_in
@@ -98,7 +97,7 @@ class Models:
 
     @cached_property
     def departure_rollup(self) -> DataFrame:
-        return departure_rollup(self.int_departures_combined)
+        return intermediate.rollup_by_priority(self.stg_ns_departures, self.stg_rdt_services)
 
     @cached_property
     def int_train_delays_daily(self) -> DataFrame:

@@ -113,6 +113,18 @@ def test_archive_days_hide_live_days(spark):
     assert ids([stop("a", D(2026, 3, 1), ts=None)]) == ["l1", "l2", "l3"]
 
 
+@pytest.mark.parametrize("stops", [
+    None, [], [stop("a", D(2026, 3, 1), delay=3), stop("b", D(2026, 3, 1), delay=None)],
+    [stop("a", D(2026, 3, 1)), stop("b", None)], [stop("a", D(2026, 3, 1), ts=None)]])
+def test_rollup_of_sources_equals_rollup_of_departures(spark, rows, stops):
+    lives = spark.createDataFrame(
+        [live("l1", D(2026, 3, 1)), live("l2", D(2026, 3, 2)), live("l3", None)], DEPARTURE)
+    archive = None if stops is None else spark.createDataFrame(stops, STOP)
+    by_source = intermediate.rollup_by_priority(lives, archive)
+    combined_first = departure_rollup(intermediate.int_departures_combined(lives, archive))
+    assert rows(by_source) == rows(combined_first)
+
+
 def test_archive_flags_and_times(spark):
     rows = combined(spark, [], [
         stop("a", D(2026, 3, 1), delay=7, whole=False, own=True),
