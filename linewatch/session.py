@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,15 +26,29 @@ def builder(app_name: str = "linewatch", **extra: str) -> SparkSession.Builder:
     return b
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="linewatch-")
+def _shared_root(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, or else a folder below the warehouse, which a cluster shares.
+
+    A warehouse on a machine's own disk is refused under a cluster master.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    on_disk = warehouse.startswith("file:") or "://" not in warehouse
+    if on_disk and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(
+            "set spark.checkpoint.dir to a shared folder: executors cannot read " + warehouse)
+    return warehouse.rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared folder the cluster names in spark.checkpoint.dir.
+    """A fresh folder below the shared folder the cluster names in spark.checkpoint.dir."""
+    return f"{_shared_root(spark).rstrip('/')}/linewatch/{label}-{uuid.uuid4().hex}"
 
-    Only a session without that setting (a unit test) falls back to a local one.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
-    return f"{root.rstrip('/')}/linewatch/{label}-{uuid.uuid4().hex}"
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through the file system it lies in."""
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(hadoop).delete(target, True)
