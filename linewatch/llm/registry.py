@@ -6,14 +6,18 @@ from linewatch.llm.cutting_stock import op9_cutting_stock
 from linewatch.llm.label_shards import op2_label_shards
 from linewatch.llm.line_frequency import OP10_SQL, op10_site_lines
 from linewatch.llm.multi_order_join import OP6_SQL, op6_multi_order_join
+from linewatch.llm.piece_viterbi import op4_piece_viterbi
 from linewatch.llm.range_coder import op5_range_coder
 from linewatch.llm.repetition import op1_repetition
 from linewatch.llm.span_language import op8_span_language
 from linewatch.llm.sparse_suffixes import OP7_SQL, op7_repeated_passages
+from linewatch.llm.vantage_trees import op3_vantage_trees
 
 REGISTRY = {
     "op1_repetition": op1_repetition,
     "op2_label_shards": op2_label_shards,
+    "op3_vantage_trees": op3_vantage_trees,
+    "op4_piece_viterbi": op4_piece_viterbi,
     "op5_range_coder": op5_range_coder,
     "op6_multi_order_join": op6_multi_order_join,
     "op7_repeated_passages": op7_repeated_passages,
