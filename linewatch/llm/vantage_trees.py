@@ -151,7 +151,7 @@ def nearest(
     def spread(df: DataFrame, own: str, other: str) -> DataFrame:
         mine = F.pmod(F.xxhash64("id"), F.col(own + "s")).cast("int").alias(own)
         return df.join(F.broadcast(sizes), "dim").select(
-            "id", "v", "dim", "norm", mine,
+            "id", "v", "dim", (F.col("norm") + 0).alias("norm"), mine,
             F.explode(F.sequence(F.lit(0), F.col(other + "s") - 1)).alias(other))
 
     kind = "query_id long, vec_id long, score double"
