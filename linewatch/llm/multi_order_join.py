@@ -7,13 +7,15 @@ under one of the others are not, and what is left is verified on whole sets.
 
 In every order shingles known to be frequent come last, so passages that many documents share are
 in hardly any prefix. Documents of equal sets are one class and take part once. A shingle in the
-prefix of very many classes does not give all their pairs: its classes are linked to a few
-leaders, and only those that this leaves in different components are compared, in blocks.
+prefix of very many classes does not give all their pairs but a star. What candidates connect is
+verified together, in blocks of bounded size: each set is sent there once, and a block gives no
+more links than it takes to connect what is similar.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from linewatch.llm import words as W
 from linewatch.llm.common import prepare, components, staged, table
 
-#: A shingle in at least so many documents of one batch is counted for the order ...
-BATCH_COUNT = 3
-#: ... and so many of the most frequent ones, 2 MB, go to all tasks. This bounds what the order
-#: knows; any order gives the same result.
+#: So many of the shingles that are in most prefixes at first, 2 MB, go to all tasks. This bounds
+#: what the order knows; any order gives the same result.
 KNOWN_SHINGLES = 1 << 17
-#: A prefix shingle in more classes than this links leaders first.
+#: A prefix shingle in more classes than this gives a star of candidates instead of all pairs.
 CROWD = 24
-LEADERS = 3
 #: Shingles of the sets of one block.
-BLOCK_SHINGLES = 1_000_000
+BLOCK_SHINGLES = 250_000
 _SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0,
                    0x082EFA98EC4E6C89], np.uint64)
 
@@ -91,35 +90,6 @@ def _lists(at: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), values)
 
 
-def _described(docs: DataFrame, size: int) -> DataFrame:
-    """(id, n, digest of the set, frequent shingles of the batch and their counts)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            counts, d1, d2 = (np.zeros(n, t) for t in (np.int64, np.uint64, np.uint64))
-            pool = []
-            for of, h in shingle_sets(W.large(batch.column(1)), size):
-                counts += np.bincount(of, minlength=n)
-                np.add.at(d1, of, W.mixed(h ^ _SEEDS[3]))
-                np.add.at(d2, of, W.mixed(h + _SEEDS[2]))
-                pool.append(h)
-            value, times = np.unique(np.concatenate(pool), return_counts=True)
-            often = times >= BATCH_COUNT
-            at = np.zeros(n + 1, np.int32)
-            at[1:] = often.sum()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts), _signed(d1), _signed(d2),
-                 _lists(at, _signed(value[often])), _lists(at, pa.array(times[often]))],
-                ["id", "n", "d1", "d2", "tokens", "times"])
-
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(
-        run, f"id {kind}, n long, d1 long, d2 long, tokens array<long>, times array<long>")
-
-
 def _prefixes(docs: DataFrame, size: int, percent: int, orders: int,
               known: np.ndarray, counts: np.ndarray) -> DataFrame:
     """(id, n, digest, prefix under each order) with p0 as shingles, the others as 32 bits each."""
@@ -155,61 +125,19 @@ def _prefixes(docs: DataFrame, size: int, percent: int, orders: int,
             f", p{k} array<int>" for k in range(1, orders)))
 
 
-def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(id, set as ascending 64-bit hashes) of the documents of ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, at = batch.num_rows, 0
-            for of, h in shingle_sets(W.large(batch.column(1)), size) if n else ():
-                last = int(of[-1]) + 1 if len(of) else at
-                ends = _bounds(of, last)
-                rows = [h[a:b].tobytes() for a, b in zip(ends[at:-1], ends[at + 1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, last - at), pa.array(rows, pa.binary())],
-                    ["id", "set"])
-                at = last
-
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").join(ids, "id", "left_semi").mapInArrow(
-        run, f"id {kind}, set binary")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose sets are similar."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.searchsorted(q, p)
-                common = int((q[np.minimum(at, len(q) - 1)] == p).sum())
-                keep.append(100 * common >= percent * (len(p) + len(q) - common))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select(
-        "a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}")
-
-
-def block_links(ids: list, sets: list[np.ndarray], component: list, percent: int) -> list[tuple]:
-    """Links that join the components of some sets: all of them are found, up to those between
-    components that earlier links have joined."""
-    place = {c: i for i, c in enumerate(dict.fromkeys(component))}
-    label = np.array([place[c] for c in component])
+def block_links(ids: list, sets: list[np.ndarray], percent: int) -> list[tuple]:
+    """Links of similar sets: so many that they connect what all similar pairs connect."""
     size = np.array([len(s) for s in sets])
+    label = np.arange(len(sets))
     value, vocabulary = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), size)
     by = np.argsort(vocabulary, kind="stable")
+    owner = np.repeat(label, size)[by]
     at = np.concatenate([[0], np.cumsum(np.bincount(vocabulary, minlength=len(value)))])
-    owner, first = owner[by], np.concatenate([[0], np.cumsum(size)])
+    first = np.concatenate([[0], np.cumsum(size)])
     links = []
-    for i in np.flatnonzero(label != np.bincount(label).argmax()):
+    for i in range(len(sets) - 1):
         mine = vocabulary[first[i]:first[i + 1]]
-        near = np.concatenate([owner[at[v]:at[v + 1]] for v in mine]) if len(mine) else mine
+        near = np.concatenate([owner[at[v]:at[v + 1]] for v in mine])
         common = np.bincount(near, minlength=len(sets))
         hit = 100 * common >= percent * (size + size[i] - common)
         while (other := np.flatnonzero(hit & (label != label[i]))).size:
@@ -219,33 +147,50 @@ def block_links(ids: list, sets: list[np.ndarray], component: list, percent: int
     return links
 
 
-def _crowd_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the components of each crowd (token, id, n, component)."""
-    kind = members.schema["id"].dataType.simpleString()
-    so_far = Window.partitionBy("token").orderBy("n", "id").rowsBetween(
+def _halves(rows: DataFrame, id_: str, size: str) -> DataFrame:
+    return rows.select("token", F.col("id").alias(id_), F.col("n").alias(size))
+
+
+def _verified(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) among the members (id, n, component) of each candidate component."""
+    so_far = Window.partitionBy("component").orderBy("n", "id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    members = staged(members.withColumn(
-        "block", F.floor(F.sum("n").over(so_far) / F.lit(BLOCK_SHINGLES)).cast("long")), "crowds")
-    blocks = members.groupBy("token", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    one, two = blocks.toDF("token", "i", "_", "high"), blocks.toDF("token", "j", "low", "_")
+    members = staged(members.withColumn("block", F.floor(
+        (F.sum("n").over(so_far) - 1) / F.lit(BLOCK_SHINGLES)).cast("long")), "members")
+    blocks = members.groupBy("component", "block").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"))
+    one = blocks.select("component", F.col("block").alias("i"), "high")
+    two = blocks.select("component", F.col("block").alias("j"), "low")
     # only blocks whose sizes can be that similar meet
-    meet = one.drop("_").join(two.drop("_"), "token").where(
-        (F.col("i") <= F.col("j")) & (F.col("high") * 100 >= F.col("low") * percent))
-    sides = meet.select("token", "i", "j", F.explode(F.array_distinct(F.array("i", "j")))
-                        .alias("block"))
-    rows = members.join(sides, ["token", "block"]).join(sets, "id").select(
-        "token", "i", "j", "id", "component", "set")
-
-    def run(group: pa.Table) -> pa.Table:
+    sides = one.join(two, "component").where(
+        (F.col("i") <= F.col("j")) & (F.col("high") * 100 >= F.col("low") * percent)).select(
+        "component", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    rows = docs.select("id", "text").join(
+        members.join(sides, ["component", "block"]).select("id", "component", "i", "j"), "id")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, at = batch.num_rows, 0
+            for of, h in shingle_sets(W.large(batch.column(1)), size) if n else ():
+                last = int(of[-1]) + 1 if len(of) else at
+                ends = _bounds(of, last)
+                found = [h[a:b].tobytes() for a, b in zip(ends[at:-1], ends[at + 1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(k).slice(at, last - at) for k in (0, 2, 3, 4)],
+                     pa.array(found, pa.binary())], ["id", "component", "i", "j", "set"])
+                at = last
+
+    def compare(group: pa.Table) -> pa.Table:
         found = block_links(
             group["id"].to_pylist(),
-            [np.frombuffer(x.as_buffer(), np.uint64) for c in group["set"].chunks for x in c],
-            group["component"].to_pylist(), percent)
+            [np.frombuffer(x.as_buffer(), np.uint64) for c in group["set"].chunks for x in c], percent)
         kind_ = group.schema.field("id").type
         return pa.table({"a": pa.array([x for x, _ in found], kind_),
                          "b": pa.array([y for _, y in found], kind_)})
 
-    return rows.groupBy("token", "i", "j").applyInArrow(run, f"a {kind}, b {kind}")
+    kind = docs.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(sets, f"id {kind}, component {kind}, i long, j long, set binary").groupBy(
+        "component", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}")
 
 
 def similar_classes(
@@ -261,10 +206,11 @@ def similar_classes(
     spark = docs.sparkSession
     prepare(spark)
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    described = staged(_described(source, size), "shingles")
-    frequent = described.select(F.explode(F.arrays_zip("tokens", "times")).alias("x")).groupBy(
-        F.col("x.tokens").alias("token")).agg(F.sum("x.times").alias("n")).where(
-        F.col("n") > CROWD).orderBy(F.desc("n"), "token").limit(KNOWN_SHINGLES).toPandas()
+    nothing = np.zeros(0, np.uint64)
+    described = staged(_prefixes(source, size, percent, 1, nothing, nothing), "shingles")
+    frequent = described.select(F.explode("p0").alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).orderBy(
+        F.desc("n"), "token").limit(KNOWN_SHINGLES).toPandas()
     known = frequent["token"].to_numpy(np.int64).view(np.uint64)
     by = np.argsort(known)
     known, counts = known[by], frequent["n"].to_numpy(np.int64)[by]
@@ -283,44 +229,22 @@ def similar_classes(
     shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     posted = staged(posted.join(shared, "token"), "postings")
     few = posted.where(F.col("many") <= CROWD)
-    one, two = few.select("token", F.col("id").alias("a"), F.col("n").alias("na")), few.select(
-        "token", F.col("id").alias("b"), F.col("n").alias("nb"))
-    near = (F.col("na") * percent <= F.col("nb") * 100) & (F.col("nb") * percent <= F.col("na") * 100)
-    pairs = one.join(two, "token").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
-
-    def shares(k: int) -> Column:
-        return F.arrays_overlap(f"x{k}", f"y{k}")
-
+    pairs = _halves(few, "a", "na").join(_halves(few, "b", "nb"), "token").where(
+        (F.col("a") < F.col("b")) & (F.col("na") * percent <= F.col("nb") * 100)
+        & (F.col("nb") * percent <= F.col("na") * 100)).select("a", "b").distinct()
     if orders > 1:
-        left = classes.select(F.col("class").alias("a"), *[
-            F.col(f"p{k}").alias(f"x{k}") for k in range(1, orders)])
-        right = classes.select(F.col("class").alias("b"), *[
-            F.col(f"p{k}").alias(f"y{k}") for k in range(1, orders)])
-        test = shares(1)
-        for k in range(2, orders):
-            test = test & shares(k)
-        pairs = pairs.join(left, "a").join(right, "b").where(test).select("a", "b").distinct()
-
-    crowd = posted.where(F.col("many") > CROWD).select("token", "id", "n")
-    leads = crowd.groupBy("token").agg(*[
-        F.min_by("id", F.xxhash64("id", F.lit(k))).alias(f"l{k}") for k in range(LEADERS)])
-    leads = leads.select("token", F.explode(F.array_distinct(F.array(
-        *[f"l{k}" for k in range(LEADERS)]))).alias("lead"))
-    starred = crowd.join(leads, "token").where(F.col("id") != F.col("lead")).select(
-        F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
-    pairs = staged(pairs.unionByName(starred).distinct(), "candidates")
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(
-        pairs.select(F.col("b").alias("id"))).unionByName(crowd.select("id")).distinct()
-    sets = staged(_sets(source, wanted, size), "sets")
-    links = staged(_verified(pairs, sets, percent), "links")
-
-    found = components(links)
-    crowd = crowd.join(found, "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
-    torn = crowd.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    crowd = crowd.join(torn.select("token"), "token", "left_semi")
-    return members, links.unionByName(staged(_crowd_links(crowd, sets, percent), "links"))
+        sides = [classes.select(F.col("class").alias(id_), *[
+            F.col(f"p{k}").alias(f"{name}{k}") for k in range(1, orders)])
+            for id_, name in (("a", "x"), ("b", "y"))]
+        test = reduce(lambda x, y: x & y, [
+            F.arrays_overlap(f"x{k}", f"y{k}") for k in range(1, orders)])
+        pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(test).select("a", "b")
+    crowd = posted.where(F.col("many") > CROWD)
+    stars = crowd.join(crowd.groupBy("token").agg(F.min("id").alias("a")), "token").select(
+        "a", F.col("id").alias("b"))
+    found = staged(components(pairs.unionByName(stars)), "candidates")
+    wanted = found.join(classes.select(F.col("class").alias("id"), "n"), "id")
+    return members, staged(_verified(source, wanted, size, percent), "links")
 
 
 def similarity_groups(
