@@ -28,6 +28,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that may be broadcast: some 16 MB.
+BROADCAST_ROWS = 300_000
+
+
+def hinted(df: DataFrame) -> DataFrame:
+    """A staged df of a few numbers a row, to be broadcast if it is proven small enough; beyond
+    that, joins shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def numbered(
     df: DataFrame, keys: list[str], order: list[Column], name: str, spread: Column,
     buckets: int = 256,

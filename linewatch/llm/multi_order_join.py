@@ -8,7 +8,7 @@ under one of the others are not, and what is left is verified on whole sets.
 In every order shingles known to be frequent come last, so passages that many documents share are
 in hardly any prefix. Documents of equal sets are one class and take part once. A shingle in the
 prefix of very many classes does not give all their pairs but a star. What candidates connect is
-verified together, in blocks of bounded size: each set is sent there once, and a block gives no
+verified together, in blocks of bounded size: each text is sent there once, and a block gives no
 more links than it takes to connect what is similar.
 """
 
@@ -92,7 +92,8 @@ def _lists(at: np.ndarray, values: pa.Array) -> pa.Array:
 
 def _prefixes(docs: DataFrame, size: int, percent: int, orders: int,
               known: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(id, n, digest, prefix under each order) with p0 as shingles, the others as 32 bits each."""
+    """(id, n, digest, prefix under each order) with p0 as shingles, the others as 16 bits
+    each: enough to tell that two prefixes share nothing. No order, no prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,17 +113,17 @@ def _prefixes(docs: DataFrame, size: int, percent: int, orders: int,
                     by = np.lexsort((order_key(h, k, known, counts), of))
                     found[k].append(h[by][place < length[of]])
             ends = np.concatenate([[0], np.cumsum(prefix_length(total, percent))])
-            columns = [_lists(ends, _signed(np.concatenate(found[0])))] + [
-                _lists(ends, pa.array((np.concatenate(f) >> np.uint64(32)).astype(np.uint32)
-                                      .view(np.int32))) for f in found[1:]]
+            columns = [_lists(ends, _signed(np.concatenate(f)) if k == 0 else pa.array(
+                (np.concatenate(f) >> np.uint64(48)).astype(np.uint16).view(np.int16)))
+                for k, f in enumerate(found)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(total), _signed(d1), _signed(d2), *columns],
                 ["id", "n", "d1", "d2", *[f"p{k}" for k in range(orders)]])
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "text").mapInArrow(
-        run, f"id {kind}, n long, d1 long, d2 long, p0 array<long>" + "".join(
-            f", p{k} array<int>" for k in range(1, orders)))
+        run, f"id {kind}, n long, d1 long, d2 long" + "".join(
+            f", p{k} array<{'smallint' if k else 'long'}>" for k in range(orders)))
 
 
 def block_links(ids: list, sets: list[np.ndarray], percent: int) -> list[tuple]:
@@ -165,32 +166,23 @@ def _verified(docs: DataFrame, members: DataFrame, size: int, percent: int) -> D
     sides = one.join(two, "component").where(
         (F.col("i") <= F.col("j")) & (F.col("high") * 100 >= F.col("low") * percent)).select(
         "component", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    rows = docs.select("id", "text").join(
-        members.join(sides, ["component", "block"]).select("id", "component", "i", "j"), "id")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, at = batch.num_rows, 0
-            for of, h in shingle_sets(W.large(batch.column(1)), size) if n else ():
-                last = int(of[-1]) + 1 if len(of) else at
-                ends = _bounds(of, last)
-                found = [h[a:b].tobytes() for a, b in zip(ends[at:-1], ends[at + 1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(k).slice(at, last - at) for k in (0, 2, 3, 4)],
-                     pa.array(found, pa.binary())], ["id", "component", "i", "j", "set"])
-                at = last
+    cells = hinted(staged(members.join(sides, ["component", "block"]).select(
+        "id", "component", "i", "j"), "cells"))
 
     def compare(group: pa.Table) -> pa.Table:
-        found = block_links(
-            group["id"].to_pylist(),
-            [np.frombuffer(x.as_buffer(), np.uint64) for c in group["set"].chunks for x in c], percent)
+        texts, sets = W.large(group["text"]), []
+        for of, h in shingle_sets(texts, size):
+            last = int(of[-1]) + 1
+            at = _bounds(of, last)
+            sets += [h[a:b] for a, b in zip(at[len(sets):-1], at[len(sets) + 1:], strict=True)]
+        found = block_links(group["id"].to_pylist(), sets, percent)
         kind_ = group.schema.field("id").type
         return pa.table({"a": pa.array([x for x, _ in found], kind_),
                          "b": pa.array([y for _, y in found], kind_)})
 
     kind = docs.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sets, f"id {kind}, component {kind}, i long, j long, set binary").groupBy(
-        "component", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}")
+    return docs.select("id", "text").join(cells, "id").groupBy("component", "i", "j").applyInArrow(
+        compare, f"a {kind}, b {kind}")
 
 
 def similar_classes(
@@ -207,8 +199,9 @@ def similar_classes(
     prepare(spark)
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     nothing = np.zeros(0, np.uint64)
-    described = staged(_prefixes(source, size, percent, 1, nothing, nothing), "shingles")
-    frequent = described.select(F.explode("p0").alias("token")).groupBy("token").agg(
+    described = staged(_prefixes(source, size, percent, 0, nothing, nothing), "shingles")
+    first = _prefixes(source, size, percent, 1, nothing, nothing)
+    frequent = first.select(F.explode("p0").alias("token")).groupBy("token").agg(
         F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).orderBy(
         F.desc("n"), "token").limit(KNOWN_SHINGLES).toPandas()
     known = frequent["token"].to_numpy(np.int64).view(np.uint64)
