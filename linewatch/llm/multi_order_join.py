@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from linewatch.llm import words as W
-from linewatch.llm.common import prepare, components, staged, table
+from linewatch.llm.common import components, hinted, prepare, staged, table
 
 #: So many of the shingles that are in most prefixes at first, 2 MB, go to all tasks. This bounds
 #: what the order knows; any order gives the same result.
