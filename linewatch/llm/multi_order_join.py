@@ -2,12 +2,13 @@
 
 Multiple-global-order prefix filtering. All shingles stand in several total orders; if two sets
 reach the similarity, they share a shingle among the first few of each set, under every order.
-Documents that share a prefix shingle under the first order are candidates, those that share none
-under one of the others are not, and what is left is verified on whole sets.
+Documents that share a prefix shingle under the first order are candidates. A prefix longer by some
+shingles must share as many more; candidates that do not under one of the other orders are
+dropped, and what is left is verified on whole sets.
 
 In every order shingles known to be frequent come last, so passages that many documents share are
 in hardly any prefix. Documents of equal sets are one class and take part once. A shingle in the
-prefix of very many classes does not give all their pairs but a star. What candidates connect is
+prefix of very many classes does not give all their pairs but a chain. What candidates connect is
 verified together, in blocks of bounded size: each text is sent there once, and a block gives no
 more links than it takes to connect what is similar.
 """
@@ -27,10 +28,10 @@ from linewatch.llm.common import components, hinted, prepare, staged, table
 #: So many of the shingles that are in most prefixes at first, 2 MB, go to all tasks. This bounds
 #: what the order knows; any order gives the same result.
 KNOWN_SHINGLES = 1 << 17
-#: A prefix shingle in more classes than this gives a star of candidates instead of all pairs.
+#: A prefix shingle in more classes than this gives a chain of candidates instead of all pairs.
 CROWD = 24
 #: Shingles of the sets of one block.
-BLOCK_SHINGLES = 250_000
+BLOCK_SHINGLES = 500_000
 _SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0,
                    0x082EFA98EC4E6C89], np.uint64)
 
@@ -67,6 +68,11 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return np.where(n > 0, n - (n * percent + 99) // 100 + 1, 0)
 
 
+def shared_length(prefix: np.ndarray | Column) -> np.ndarray | Column:
+    """Similar sets share that many of their prefixes that are longer by so many, less one."""
+    return prefix // 2 + 1 if isinstance(prefix, np.ndarray) else F.floor(prefix / 2) + 1
+
+
 def order_key(h: np.ndarray, order: int, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The place of each shingle in one of the global orders: known frequent ones last."""
     key = W.mixed(h ^ _SEEDS[order]) >> np.uint64(2)
@@ -92,8 +98,12 @@ def _lists(at: np.ndarray, values: pa.Array) -> pa.Array:
 
 def _prefixes(docs: DataFrame, size: int, percent: int, orders: int,
               known: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(id, n, digest, prefix under each order) with p0 as shingles, the others as 16 bits
-    each: enough to tell that two prefixes share nothing. No order, no prefix."""
+    """(id, n, digest, prefix under each order) with p0 as shingles, the others, longer
+    by shared_length - 1, as 32 bits each. No order, no prefix."""
+
+    def length(k: int, n: np.ndarray) -> np.ndarray:
+        p = prefix_length(n, percent)
+        return p if k == 0 else np.where(n > 0, np.minimum(p + shared_length(p) - 1, n), 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,14 +117,13 @@ def _prefixes(docs: DataFrame, size: int, percent: int, orders: int,
                 np.add.at(d1, of, W.mixed(h ^ _SEEDS[3]))
                 np.add.at(d2, of, W.mixed(h + _SEEDS[2]))
                 at = _bounds(of, n)
-                length = prefix_length(np.diff(at), percent)
                 place = np.arange(len(h)) - at[of]
                 for k in range(orders):
                     by = np.lexsort((order_key(h, k, known, counts), of))
-                    found[k].append(h[by][place < length[of]])
-            ends = np.concatenate([[0], np.cumsum(prefix_length(total, percent))])
-            columns = [_lists(ends, _signed(np.concatenate(f)) if k == 0 else pa.array(
-                (np.concatenate(f) >> np.uint64(48)).astype(np.uint16).view(np.int16)))
+                    found[k].append(h[by][place < length(k, np.diff(at))[of]])
+            ends = [np.concatenate([[0], np.cumsum(length(k, total))]) for k in range(orders)]
+            columns = [_lists(ends[k], _signed(np.concatenate(f)) if k == 0 else pa.array(
+                (np.concatenate(f) >> np.uint64(32)).astype(np.uint32).view(np.int32)))
                 for k, f in enumerate(found)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(total), _signed(d1), _signed(d2), *columns],
@@ -123,7 +132,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, orders: int,
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "text").mapInArrow(
         run, f"id {kind}, n long, d1 long, d2 long" + "".join(
-            f", p{k} array<{'smallint' if k else 'long'}>" for k in range(orders)))
+            f", p{k} array<{'int' if k else 'long'}>" for k in range(orders)))
 
 
 def block_links(ids: list, sets: list[np.ndarray], percent: int) -> list[tuple]:
@@ -200,7 +209,8 @@ def similar_classes(
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     nothing = np.zeros(0, np.uint64)
     described = staged(_prefixes(source, size, percent, 0, nothing, nothing), "shingles")
-    first = _prefixes(source, size, percent, 1, nothing, nothing)
+    # twice the prefix, as frequent shingles make room for others
+    first = _prefixes(source, size, max(2 * percent - 100, 0), 1, nothing, nothing)
     frequent = first.select(F.explode("p0").alias("token")).groupBy("token").agg(
         F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).orderBy(
         F.desc("n"), "token").limit(KNOWN_SHINGLES).toPandas()
@@ -224,18 +234,27 @@ def similar_classes(
     few = posted.where(F.col("many") <= CROWD)
     pairs = _halves(few, "a", "na").join(_halves(few, "b", "nb"), "token").where(
         (F.col("a") < F.col("b")) & (F.col("na") * percent <= F.col("nb") * 100)
-        & (F.col("nb") * percent <= F.col("na") * 100)).select("a", "b").distinct()
+        & (F.col("nb") * percent <= F.col("na") * 100)).select(
+        "a", "b", F.least("na", "nb").alias("n")).distinct()
     if orders > 1:
         sides = [classes.select(F.col("class").alias(id_), *[
             F.col(f"p{k}").alias(f"{name}{k}") for k in range(1, orders)])
             for id_, name in (("a", "x"), ("b", "y"))]
+        # half of what similar sets share leaves room for shingles with equal 32 bits
+        n = F.col("n")
+        least = F.greatest(F.lit(1), F.floor(shared_length(
+            n - F.floor((n * percent + 99) / 100) + 1) / 2))
         test = reduce(lambda x, y: x & y, [
-            F.arrays_overlap(f"x{k}", f"y{k}") for k in range(1, orders)])
-        pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(test).select("a", "b")
-    crowd = posted.where(F.col("many") > CROWD)
-    stars = crowd.join(crowd.groupBy("token").agg(F.min("id").alias("a")), "token").select(
-        "a", F.col("id").alias("b"))
-    found = staged(components(pairs.unionByName(stars)), "candidates")
+            F.size(F.array_intersect(f"x{k}", f"y{k}")) >= least for k in range(1, orders)])
+        pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(test)
+    pairs = pairs.select("a", "b")
+    # in the order of sizes, whatever lies between two similar sets is of a similar size too
+    by_size = Window.partitionBy("token").orderBy("n", "id")
+    chains = posted.where(F.col("many") > CROWD).select(
+        F.lag("id").over(by_size).alias("a"), F.lag("n").over(by_size).alias("na"),
+        F.col("id").alias("b"), F.col("n").alias("nb")).where(
+        F.col("na") * 100 >= F.col("nb") * percent).select("a", "b").distinct()
+    found = staged(components(pairs.unionByName(chains)), "candidates")
     wanted = found.join(classes.select(F.col("class").alias("id"), "n"), "id")
     return members, staged(_verified(source, wanted, size, percent), "links")
 
