@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from linewatch.operators.skew import join_per_key
 
-# Groups up to this many rows are ranked as a whole.
-WHOLE_GROUP_ROWS = 100_000
-SKETCH_ACCURACY = 2_000
+# Each round splits the interval that holds a rank into so many; three rounds leave a billionth.
+INTERVALS = 1024
+ROUNDS = 3
 
 
 def grouped_quantile(
     df: DataFrame, key: str, value: str, quantile: float, name: str,
-    whole_group_rows: int = WHOLE_GROUP_ROWS, accuracy: int = SKETCH_ACCURACY,
+    intervals: int = INTERVALS, rounds: int = ROUNDS,
 ) -> DataFrame:
     """One row per key: the interpolated quantile of the non-NULL values.
 
@@ -21,50 +21,51 @@ def grouped_quantile(
 
     The built-in `percentile` keeps every distinct value of a group in one
     aggregation buffer, which a road point with a large share of all readings
-    would overflow. Here a mergeable sketch first gives, per large group, two
-    values that enclose the wanted rank. A second aggregation counts what lies
-    below as one number and only the values in between one by one, combined
-    before the shuffle. The ranks are then exact; should the sketch ever miss
-    its error bound, the job fails rather than returning a wrong value.
+    would overflow. Here rows are first counted by key and value, combined
+    before the shuffle. The two ranks around the quantile are then looked for:
+    the range of a key's values is cut into intervals, rows are counted for
+    each, and the interval with the rank is cut again, a fixed number of times.
+    Only what is left of a key is ranked value by value. Ranks are counts, so
+    the result is exact at any size.
     """
-    margin = 3.0 / accuracy
-    v = F.col(value)
-    group_size = F.count(v)
-    enclosing = F.percentile_approx(
-        v, [max(quantile - margin, 0.0), min(quantile + margin, 1.0)], accuracy)
-    is_large = F.col("_n") > whole_group_rows
-    bounds = df.groupBy(key).agg(group_size.alias("_n"), enclosing.alias("_q")).select(
-        key, "_n",
-        F.when(is_large & F.lit(quantile > margin), F.col("_q")[0]).alias("_low"),
-        F.when(is_large & F.lit(quantile < 1 - margin), F.col("_q")[1]).alias("_high"),
-    )
+    counts = df.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(
+        F.col(key), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    position = (F.col("_size") - 1) * F.lit(float(quantile))
+    wanted = counts.groupBy(key).agg(
+        F.sum("_n").alias("_size"), F.min("_v").alias("_low"), F.max("_v").alias("_high"),
+    ).select(
+        key, position.alias("_position"),
+        F.explode(F.array_distinct(F.array(
+            F.floor(position), F.ceil(position)))).alias("_rank"),
+        "_low", "_high", F.lit(0).cast("long").alias("_before"))
 
-    counted = (
-        join_per_key(df.select(key, value), bounds, key, "inner", spread_by=[value])
-        .where(v.isNotNull() & (F.col("_high").isNull() | (v <= F.col("_high"))))
-        .select(key, "_n", F.when(F.col("_low").isNull() | (v >= F.col("_low")), v).alias("_v"))
-        .groupBy(key, "_v")
-        .agg(F.count(F.lit(1)).alias("_rows"), F.max("_n").alias("_n"))
-    )
-    running = Window.partitionBy(key).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    position = (F.col("_n") - 1) * F.lit(float(quantile))
-
-    def value_at(rank: Column) -> Column:
-        return F.min(F.when(F.col("_up_to") > rank, F.col("_v")))
+    def inside(targets: DataFrame) -> DataFrame:
+        # a key has one or two ranks; as one row a key, the hot key can be spread over tasks
+        by_key = targets.groupBy(key).agg(F.collect_list(F.struct(
+            "_position", "_rank", "_low", "_high", "_before")).alias("_t"))
+        joined = join_per_key(counts, by_key, key, "inner", spread_by=["_v"])
+        return joined.select(key, "_v", "_n", F.explode("_t").alias("_t")).select(
+            key, "_v", "_n", "_t.*").where(F.col("_v").between(F.col("_low"), F.col("_high")))
 
-    picked = counted.withColumn("_up_to", F.sum("_rows").over(running)).groupBy(key).agg(
-        value_at(F.floor(position)).alias("_lower"),
-        value_at(F.ceil(position)).alias("_upper"),
-        F.max(F.when(F.col("_v").isNull(), F.col("_up_to"))).alias("_below"),
-        F.max(position).alias("_position"),
-    )
-    enclosed = (
-        (F.coalesce(F.col("_below"), F.lit(0)) <= F.floor("_position"))
-        & F.col("_upper").isNotNull()
-    )
-    lower, upper = F.col("_lower"), F.col("_upper")
-    fraction = F.col("_position") - F.floor("_position")
-    exact = F.when(enclosed, lower + (upper - lower) * fraction).otherwise(
-        F.raise_error(F.lit("quantile sketch missed its error bound")).cast("double"))
-    return picked.select(key, exact.alias(name))
+    rank = [key, "_position", "_rank"]
+    up_to = Window.partitionBy(key, "_rank").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    for _ in range(rounds):
+        width = F.col("_high") - F.col("_low")
+        interval = F.when(width > 0, F.least(
+            F.lit(intervals - 1), F.floor((F.col("_v") - F.col("_low")) / width * intervals))
+        ).otherwise(0)
+        rows = inside(wanted).withColumn("_interval", interval).groupBy(
+            *rank, "_before", "_interval").agg(
+            F.sum("_n").alias("_rows"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        through = F.col("_before") + F.sum("_rows").over(up_to.orderBy("_interval"))
+        wanted = rows.withColumn("_through", through).where(
+            (F.col("_through") > F.col("_rank"))
+            & (F.col("_through") - F.col("_rows") <= F.col("_rank"))).select(
+            *rank, "_low", "_high", (F.col("_through") - F.col("_rows")).alias("_before"))
+    through = F.col("_before") + F.sum("_n").over(up_to.orderBy("_v"))
+    found = inside(wanted).withColumn("_through", through).where(
+        F.col("_through") > F.col("_rank")).groupBy(*rank).agg(F.min("_v").alias("_value"))
+    lower, upper = F.min_by("_value", "_rank"), F.max_by("_value", "_rank")
+    part = F.max("_position") - F.floor(F.max("_position"))
+    return found.groupBy(key).agg((lower + (upper - lower) * part).alias(name))

@@ -95,7 +95,10 @@ def stg_ns_departures(ns_departures: DataFrame) -> DataFrame:
         "_ingested_at",
     )
     order = [F.col(c).desc_nulls_last() for c in
-             ("_ingested_at", "actual_departure_ts", "planned_departure_ts", "train_number")]
+             ("_ingested_at", "actual_departure_ts", "planned_departure_ts", "train_number",
+              "station_code", "service_date", "operator_name", "train_name", "train_category",
+              "category_long_name", "departure_status", "planned_track", "actual_track",
+              "data_source", "direction")]
     latest = latest_per_key(cleaned, ["departure_id"], order)
     return latest.drop("_ingested_at").withColumn(
         "delay_minutes", whole_minutes_between("planned_departure_ts", "actual_departure_ts"))
@@ -128,7 +131,9 @@ def stg_ns_disruptions(ns_disruptions: DataFrame) -> DataFrame:
     keyed = ns_disruptions.withColumn("_registered", F.col("registrationTime").cast("timestamp"))
     latest = latest_per_key(
         keyed, ["id", "_service_date"],
-        [F.col("_registered").desc_nulls_last(), F.col("_ingested_at").desc_nulls_last()])
+        [F.col(c).desc_nulls_last() for c in ("_registered", "_ingested_at", *sorted(
+            f.name for f in ns_disruptions.schema
+            if f.dataType.simpleString() == "string"))])
     columns = {
         "disruption_id": ("id", "string"), "service_date": ("_service_date", "date"),
         "data_source": ("_source", "string"), "disruption_type": ("type", "string"),

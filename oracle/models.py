@@ -126,7 +126,9 @@ CTES["stg_live"] = """
     from live_polls
     qualify row_number() over (partition by departure_id
         order by ts desc nulls last, actual_ts desc nulls last, planned_ts desc nulls last,
-            cast(user_id as varchar) desc) = 1"""
+            cast(user_id as varchar) desc, station_code desc nulls last,
+            service_date desc nulls last, operator_name desc nulls last,
+            train_name desc nulls last) = 1"""
 
 CTES["stg_live_disruptions"] = f"""
     select 'D' || o_orderkey as disruption_id,

@@ -230,3 +230,37 @@ def test_poll_stream_takes_every_file_once(spark, tmp_path):
     assert run() == [("ASD", "C"), ("UT", "A"), ("UT", "A"), ("UT", "B")]
     row = spark.read.parquet(target).first()
     assert json.loads(row["product"]) == {"number": "1"}
+
+
+def test_upsert_keeps_columns_that_only_one_side_has(spark, tmp_path, rows):
+    path = str(tmp_path / "fact")
+    day = D(2026, 3, 1)
+    wide = "id long, v long, extra string, service_date date"
+    merge.incremental_merge(spark, path, spark.createDataFrame(
+        [(1, 10, "a", day), (2, 20, "b", day)], wide), ["id"])
+    merge.incremental_merge(spark, path, spark.createDataFrame(
+        [(1, 11, day), (3, 30, day)], "id long, v long, service_date date"), ["id"])
+    columns = ("id", "v", "extra")
+    assert rows(spark.read.parquet(path), *columns) == [(1, 11, "a"), (2, 20, "b"), (3, 30, None)]
+    merge.incremental_merge(spark, path, spark.createDataFrame(
+        [(2, 21, "c", 5, day)], "id long, v long, extra string, more long, service_date date"), ["id"])
+    assert rows(spark.read.parquet(path), *columns, "more") == [
+        (1, 11, "a", None), (2, 21, "c", 5), (3, 30, None, None)]
+
+
+def test_scratch_is_shared_storage():
+    from types import SimpleNamespace
+
+    from linewatch import session
+
+    def path(master, **conf):
+        return session.scratch_path(SimpleNamespace(
+            conf=conf and SimpleNamespace(get=lambda k, default=None: conf.get(
+                k.rpartition(".")[0].rpartition(".")[2], default)),
+            sparkContext=SimpleNamespace(master=master)), "x")
+
+    assert path("spark://h:1", checkpoint="s3a://b/c", warehouse="/w").startswith("s3a://b/c/")
+    assert path("spark://h:1", warehouse="hdfs://w").startswith("hdfs://w/_scratch/")
+    assert path("local[2]", warehouse="file:/w").startswith("file:/w/_scratch/")
+    with pytest.raises(ValueError):
+        path("spark://h:1", warehouse="file:/w")
