@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from linewatch.operators.skew import join_per_key
 
-# Each round splits the interval that holds a rank into so many; three rounds leave a billionth.
+# Each round splits the interval that holds a rank into so many; two rounds leave a millionth.
 INTERVALS = 1024
-ROUNDS = 3
+ROUNDS = 2
 
 
 def grouped_quantile(
