@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Columns that must not be NULL, and columns that must be unique, per table.
+# Columns that must not be NULL, the column that must be unique, and value ranges,
+# per table.
 NOT_NULL = {
     "ns_disruptions": ["id", "_service_date"],
     "ns_departures": ["_service_date", "_station_code"],
@@ -29,34 +30,15 @@ NOT_NULL = {
     "dm_multimodal_daily": ["corridor_id", "service_date"],
 }
 UNIQUE = {
-    "stg_ns_departures": ["departure_id"],
-    "dim_ndw_locations": ["location_id"],
-    "dim_date": ["date"],
+    "stg_ns_departures": "departure_id",
+    "dim_ndw_locations": "location_id",
+    "dim_date": "date",
 }
+RANGES = {"fct_train_performance": {"pct_on_time": (0, 100)}}
 # Age of the newest row at which a feed is late, or too late.
 WARN_AFTER_HOURS, ERROR_AFTER_HOURS = 36, 48
 
 
-def check_not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """NULLs per column, counted in one pass."""
-    counts = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in columns])
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("failures")) for c in columns])
-    return counts.select(F.explode(entries).alias("e")).select(
-        F.lit("not_null").alias("check"), F.lit(table).alias("table"), "e.column", "e.failures")
-
-
-def check_unique(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Number of values that occur more than once; NULLs are not compared."""
-    repeated = (
-        df.where(F.col(column).isNotNull()).groupBy(column)
-        .agg(F.count(F.lit(1)).alias("_times")).where(F.col("_times") > 1)
-    )
-    return repeated.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit("unique").alias("check"), F.lit(table).alias("table"),
-        F.lit(column).alias("column"), "failures")
-
-
 def outside_range(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
     """The rows whose value lies outside low..high; NULL is not outside."""
     value = F.col(column)
@@ -68,22 +50,48 @@ def pct_on_time_violations(fct_train_performance: DataFrame) -> DataFrame:
         "station_code", "service_date", "pct_on_time")
 
 
-def check_range(df: DataFrame, table: str, column: str, low: float, high: float) -> DataFrame:
-    return outside_range(df, column, low, high).agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit("range").alias("check"), F.lit(table).alias("table"),
-        F.lit(column).alias("column"), "failures")
+def table_checks(
+    df: DataFrame, table: str, not_null: list[str], unique: str | None = None,
+    ranges: dict[str, tuple[float, float]] | None = None,
+) -> DataFrame:
+    """A row for each check, from one aggregation. NULLs are neither equal nor outside a range.
+
+    With a unique column rows are first counted by its values, combined before the shuffle.
+    """
+    counts = {("not_null", c): F.col(f"`{c}`").isNull() for c in not_null}
+    for c, (low, high) in (ranges or {}).items():
+        counts["range", c] = (F.col(f"`{c}`") < low) | (F.col(f"`{c}`") > high)
+    names = {check: f"_{i}" for i, check in enumerate(counts)}
+    measures = [F.count_if(counts[check]).alias(name) for check, name in names.items()]
+    if unique is None:
+        figures = df.agg(*measures)
+    else:
+        repeated = F.col("_key").isNotNull() & (F.col("_times") > 1)
+        names["unique", unique] = "_repeated"
+        figures = df.groupBy(F.col(f"`{unique}`").alias("_key")).agg(
+            F.count(F.lit(1)).alias("_times"), *measures).agg(
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(name)
+              for name in names.values() if name != "_repeated"],
+            F.count_if(repeated).alias("_repeated"))
+    entries = F.array(*[F.struct(
+        F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(column).alias("column"),
+        F.col(name).alias("failures")) for (check, column), name in names.items()])
+    return figures.select(F.inline(entries))
+
+
+def check_not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    return table_checks(df, table, columns)
+
+
+def check_unique(df: DataFrame, table: str, column: str) -> DataFrame:
+    return table_checks(df, table, [], column)
 
 
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """All checks that apply to the given tables, one row each."""
-    reports = []
-    for name, df in tables.items():
-        if name in NOT_NULL:
-            reports.append(check_not_null(df, name, NOT_NULL[name]))
-        reports += [check_unique(df, name, column) for column in UNIQUE.get(name, [])]
-        if name == "fct_train_performance":
-            reports.append(check_range(df, name, "pct_on_time", 0, 100))
-    report = reduce(DataFrame.unionByName, reports)
+    """All checks that apply to the given tables, one row each; each table is evaluated once."""
+    report = reduce(DataFrame.unionByName, [
+        table_checks(df, name, NOT_NULL[name], UNIQUE.get(name), RANGES.get(name))
+        for name, df in tables.items() if name in NOT_NULL])
     return report.withColumn("passed", F.col("failures") == 0)
 
 

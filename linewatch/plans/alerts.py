@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from linewatch.session import remove_path, scratch_path
 from linewatch.sources import sinks
 
 # Alert thresholds and the days looked back, the day itself on top.
@@ -73,9 +74,13 @@ def alert_records(
 
 
 def append_alert_history(spark: SparkSession, path: str, records: DataFrame) -> None:
-    """Add the alerts that are not recorded yet; none of them, no write."""
+    """Add the alerts that are not recorded yet, evaluated once; none of them, no write."""
     known = sinks.read_if_present(spark, path)
     if known is not None:
         records = records.join(known.select("alert_id"), "alert_id", "left_anti")
-    if not records.isEmpty():
-        records.write.mode("append").parquet(path)
+    staged = scratch_path(spark, "alerts")
+    records.write.parquet(staged)
+    new = spark.read.schema(records.schema).parquet(staged)
+    if not new.isEmpty():
+        new.write.mode("append").parquet(path)
+    remove_path(spark, staged)

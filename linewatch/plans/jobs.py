@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linewatch.operators import merge, snapshot
 from linewatch.plans import alerts, staging
-from linewatch.plans.models import Models
+from linewatch.plans.models import FEEDS, Models
+from linewatch.plans.refresh import Refresh
 from linewatch.session import scratch_path
-from linewatch.sources import archive, backfill, sinks, stand_in
+from linewatch.sources import archive, backfill, boards, lookups, roads, sinks, stand_in
 from linewatch.schemas import ARCHIVE_DISRUPTION_FIELDS, ARCHIVE_SERVICE_FIELDS
 from linewatch.streaming import polls
 
@@ -23,7 +24,7 @@ def _as_csv_text(df: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def services_csv_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive stops written as gzipped CSV, one folder per month, read by the archive reader."""
+    """Archive stops written as gzipped CSV, read by the archive reader."""
     folder = scratch_path(spark, "services-csv")
     stops = stand_in.rdt_services(spark, sf_dir)
     sinks.archive_csv(_as_csv_text(stops, ARCHIVE_SERVICE_FIELDS), folder, "gzip")
@@ -153,7 +154,103 @@ def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "threshold", "fired")
 
 
+def services_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two months, then their year, then February again with fewer stops. Periods come from names.
+
+    Each period is a folder of gzipped files named after it.
+    """
+    source, target = scratch_path(spark, "periods"), scratch_path(spark, "services")
+    stops = stand_in.rdt_services(spark, sf_dir)
+
+    def land(period: str, rows: DataFrame) -> None:
+        sinks.archive_csv(_as_csv_text(rows, ARCHIVE_SERVICE_FIELDS),
+                          f"{source}/services-{period}.csv.gz", "gzip")
+
+    for month in ("2026-01", "2026-02"):
+        land(month, stops.where(F.substring("service_date", 1, 7) == month))
+    backfill.backfill_services(spark, source, "2026-01, 2026-02, unknown", target, _loaded_at())
+    land("2026", stops)
+    backfill.backfill_services(spark, source, "2026-02,2026", target, _loaded_at())
+    land("2026-02", stops.where(
+        (F.substring("service_date", 1, 7) == "2026-02") & ~F.col("platform_change")))
+    backfill.backfill_services(spark, source, "2026-02", target, _loaded_at())
+    return spark.read.parquet(target).groupBy(
+        F.substring("service_date", 1, 7).alias("month"), F.col("_year_month").alias("period")).agg(
+        F.count(F.lit(1)).alias("stops"), F.sum("max_delay").alias("delay"),
+        F.countDistinct("station_code").alias("stations"))
+
+
+def disruption_feed_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Disruption polls as response files, even ones a bare list, odd ones with a payload.
+
+    A file holds the disruptions of 4,000 consecutive order keys, so its size has a bound.
+    """
+    landing = scratch_path(spark, "feed")
+    polled = stand_in.ns_disruptions(spark, sf_dir)
+    fields = ["id", "type", "title", "isActive", "local", "start", "end", "registrationTime"]
+    nested = [F.try_parse_json(c).alias(c) for c in ("impact", "publicationSections", "timespans")]
+    responses = polled.select(
+        F.floor(F.substring("id", 2, 20).cast("bigint") / 4000).alias("file"),
+        F.struct(*fields, *nested).alias("item"), "isActive",
+    ).groupBy("file", "isActive").agg(F.collect_list("item").alias("payload"))
+    text = F.when(F.col("file") % 2 == 0, F.to_json("payload")).otherwise(
+        F.to_json(F.struct("payload")))
+    responses.select(text.alias("value"), "file", F.col("isActive").alias("first")).write.partitionBy(
+        "file", "first").text(landing)
+    read = boards.read_disruption_feed(
+        spark, landing, F.substring("d.start", 1, 10),
+        F.to_timestamp(F.concat(F.substring("d.start", 1, 10),
+                                F.when(F.col("d.isActive"), " 05:00:00").otherwise(" 10:00:00"))))
+    return staging.stg_ns_disruptions(read)
+
+
+def road_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Road readings of two exports with other headers and column orders, read in one call."""
+    old, new = scratch_path(spark, "roads-old"), scratch_path(spark, "roads-new")
+    readings = stand_in.ndw_readings(spark, sf_dir)
+    early = F.col("service_date") < "2026-04-01"
+    sinks.archive_csv(readings.where(early).select(
+        F.col("vehicle_count").alias("vehicleCount"), F.col("location_id").alias("measurementSiteId"),
+        F.col("avg_speed_kmh").alias("averageSpeed"), F.col("measurement_ts").alias("timestamp")), old)
+    sinks.archive_csv(readings.where(~early).select(
+        "location_id", "measurement_ts", "avg_speed_kmh", "vehicle_count"), new)
+    read = roads.read_traffic_csv(spark, [old, new], F.substring("measurement_ts", 1, 10))
+    mapped = roads.keep_mapped(read, lookups.lookup(spark, "station_ndw_mapping"))
+    return staging.stg_ndw_traffic_flow(mapped, spark)
+
+
+def csv_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV load that sets the schema, then one of other column order with a new field and
+    without speeds: the table keeps its columns and types, the speeds of those days are NULL."""
+    first, second = scratch_path(spark, "csv"), scratch_path(spark, "csv-later")
+    target = scratch_path(spark, "csv-table")
+    readings = stand_in.ndw_readings(spark, sf_dir)
+    sinks.archive_csv(readings, first)
+    sinks.load_csv(spark, first, target)
+    sinks.archive_csv(readings.where(F.col("service_date") >= "2026-04-01").select(
+        F.lit("b").alias("lane"), "vehicle_count", "service_date", "measurement_ts", "location_id"),
+        second)
+    for _ in range(2):
+        sinks.load_csv(spark, second, target)
+    table = spark.read.parquet(target)
+    return table.groupBy("service_date").agg(
+        F.count(F.lit(1)).alias("readings"), F.count("avg_speed_kmh").alias("speeds"),
+        F.sum("vehicle_count").cast("bigint").alias("vehicles"),
+        F.lit(len(table.columns)).cast("bigint").alias("fields"))
+
+
+def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The refresh of all history, then the incremental one of the next day; the mart after it."""
+    feeds = Models.on_given_tables(spark, sf_dir).feeds
+    root = scratch_path(spark, "refresh")
+    Refresh(spark, {f: feeds[f] for f in FEEDS}, root, "2026-04-12").build_models(full_refresh=True)
+    run = Refresh(spark, {f: feeds[f] for f in FEEDS}, root, "2026-04-13")
+    run.build_models()
+    return run.table("dm_multimodal_daily")
+
+
 JOBS = [
+    services_backfill, disruption_feed_reload, road_csv_load, csv_table_load, daily_refresh,
     services_csv_reload, disruptions_csv_reload, weather_ndjson_archive, partition_overwrite,
     poll_appends, poll_stream, incremental_upsert, snapshot_history, alert_history,
 ]

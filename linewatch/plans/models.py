@@ -44,14 +44,15 @@ class Models:
     """Names every model; asking for one puts its plan together, nothing runs."""
 
     def __init__(self, spark: SparkSession, feeds: Mapping[str, DataFrame],
-                 lookup_folder: str | None = None, recent_as_of: str | None = None):
+                 lookup_folder: str | None = None, recent_as_of: str | None = None,
+                 dates: tuple[str, str] = (core.DIM_DATE_FIRST, core.DIM_DATE_LAST)):
         self.spark, self.feeds, self.lookup_folder = spark, feeds, lookup_folder
-        self.recent_as_of = recent_as_of
+        self.recent_as_of, self.dates = recent_as_of, dates
 
     @classmethod
-    def on_given_tables(cls, spark: SparkSession, sf_dir: str) -> Models:
+    def on_given_tables(cls, spark: SparkSession, sf_dir: str, **options) -> Models:
         return cls(spark, LazyFeeds(
-            {f: partial(getattr(stand_in, f), spark, sf_dir) for f in FEEDS}))
+            {f: partial(getattr(stand_in, f), spark, sf_dir) for f in FEEDS}), **options)
 
     def _recent(self, feed: str, day: str) -> DataFrame:
         return recent_days(self.feeds[feed], day, self.recent_as_of)
@@ -114,7 +115,7 @@ class Models:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return core.dim_date(self.spark, self.lookup("nl_holidays"))
+        return core.dim_date(self.spark, self.lookup("nl_holidays"), *self.dates)
 
     @cached_property
     def dim_ndw_locations(self) -> DataFrame:

@@ -22,7 +22,7 @@ class Refresh:
     feeds maps rdt_services, ns_departures, rdt_disruptions, ns_disruptions,
     knmi_weather and ndw_traffic_flow to DataFrames. rdt_services, knmi_weather
     and ndw_traffic_flow may be absent. recent_only limits the live feeds to the
-    last 30 days, for development. Staging stays lazy; every model from
+    last 30 days, for development. dates are the first and last day of dim_date. Staging stays lazy; every model from
     the combined departures on is written once and read back, so later models
     and reports scan columnar files of known size instead of repeating the
     work, and lost executors cost no more than the running stage.
@@ -31,9 +31,10 @@ class Refresh:
     def __init__(
         self, spark: SparkSession, feeds: dict[str, DataFrame | None], root: str, as_of: str,
         lookup_folder: str | None = None, recent_only: bool = False,
+        dates: tuple[str, str] = (core.DIM_DATE_FIRST, core.DIM_DATE_LAST),
     ):
         self.spark, self.feeds, self.root, self.as_of = spark, feeds, root.rstrip("/"), as_of
-        self.lookup_folder = lookup_folder
+        self.lookup_folder, self.dates = lookup_folder, dates
         self.recent_as_of = as_of if recent_only else None
         self._schemas: dict[str, StructType] = {}
 
@@ -89,7 +90,7 @@ class Refresh:
         stations = self._write("dim_stations", core.dim_stations(
             self.lookup("station_corridor_mapping")), day=False)
         dates = self._write("dim_date", core.dim_date(
-            self.spark, self.lookup("nl_holidays")), day=False)
+            self.spark, self.lookup("nl_holidays"), *self.dates), day=False)
         locations = self._write("dim_ndw_locations", core.dim_ndw_locations(
             self.lookup("station_ndw_mapping"), self.lookup("station_corridor_mapping")), day=False)
 
@@ -98,7 +99,8 @@ class Refresh:
         rollup = self._write("departure_rollup", departure_rollup(departures),
                              cluster="operator_name")
         if "stg_rdt_services" in st:
-            self._write("station_names", system.station_names(st["stg_rdt_services"]), day=False)
+            self._write("station_names", system.station_names(
+                st["stg_rdt_services"], keep_empty=True), day=False)
         delays = self._write("int_train_delays_daily", intermediate.int_train_delays_daily(
             rollup, st["stg_ns_disruptions"], st["stg_rdt_disruptions"]),
             cluster="station_code")

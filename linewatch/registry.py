@@ -30,6 +30,7 @@ GRID_DAYS = [f"2026-{m:02d}-{d:02d}" for m, n in ((1, 31), (2, 28), (3, 31), (4,
 ALERT_DAY = "2026-03-10"
 ALERT_ON_TIME, ALERT_DEVIATION = 40.0, 0.5
 FRESHNESS_NOW = "2024-02-01 08:00:00"
+RECENT_AS_OF = "2026-05-01"
 
 
 def rendered(df: DataFrame) -> DataFrame:
@@ -115,6 +116,15 @@ def _(m: Models) -> DataFrame:
         "departure_id", "station_code", "service_date", "delay_minutes", "data_source")
 
 
+def _recent_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Development scope: the live departures of the last thirty days."""
+    return rendered(Models.on_given_tables(
+        spark, sf_dir, recent_as_of=RECENT_AS_OF).stg_ns_departures)
+
+
+REGISTRY["recent_departures"] = _recent_departures
+
+
 @over_models("delay_categories")
 def _(m: Models) -> DataFrame:
     return m.int_departures_combined.groupBy(
@@ -234,14 +244,18 @@ over_models("quality_report")(lambda m: quality.quality_report({
     **{t: getattr(m, t) for t in (
         "stg_ns_disruptions", "stg_ns_departures", "stg_rdt_services", "stg_rdt_disruptions",
         "stg_ndw_traffic_flow", "int_train_delays_daily", "int_ndw_traffic_daily",
-        "fct_train_performance", "fct_road_traffic", "dm_multimodal_daily")},
+        "dim_stations", "dim_date", "dim_ndw_locations", "fct_train_performance",
+        "fct_road_traffic", "dm_multimodal_daily")},
 }))
 over_models("pct_on_time_violations")(
     lambda m: quality.pct_on_time_violations(m.fct_train_performance))
 over_models("feed_freshness")(lambda m: quality.freshness(
     m.feeds["ns_departures"], "ns_departures", "_ingested_at", FRESHNESS_NOW).unionByName(
     quality.freshness(m.feeds["ns_disruptions"], "ns_disruptions", "_ingested_at",
-                      "2026-05-02 08:00:00")))
+                      "2026-05-02 08:00:00")).unionByName(
+    # the stand-in readings have no load time of their own
+    quality.freshness(m.feeds["ndw_traffic_flow"], "ndw_traffic_flow", "measurement_ts",
+                      "2026-04-16 08:00:00")))
 
 
 # Loads and maintenance: written to the shared scratch folder and read back ---------------------

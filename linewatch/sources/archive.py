@@ -11,7 +11,8 @@ from linewatch import schemas
 from linewatch.functions.columns import blank_to_null, restore_empty, strict_bool, strict_long
 
 ARCHIVE_SOURCE = "rdt_archive"
-_PERIOD_IN_FILE_NAME = r"(\d{4}(?:-\d{2})?)"
+#: The period in the name of a file, or of the folder that holds a period's files.
+_PERIOD_IN_PATH = r"(?:services|disruptions)-(\d{4}(?:-\d{2})?)[^/]*(?:/[^/]*)?$"
 
 _SERVICE_BOOLEANS = {
     "completely_cancelled", "partly_cancelled", "arrival_cancelled", "departure_cancelled",
@@ -42,7 +43,7 @@ def _scan_positional(
 def _period(period: str | None) -> Column:
     if period is not None:
         return F.lit(period)
-    return F.regexp_extract(F.col("_metadata.file_name"), _PERIOD_IN_FILE_NAME, 1)
+    return F.regexp_extract(F.col("_metadata.file_path"), _PERIOD_IN_PATH, 1)
 
 
 def _parsed(name: str, booleans: set[str], numbers: set[str], blankable: set[str]) -> Column:
@@ -62,7 +63,8 @@ def read_services(
     ingested_at: Column | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
-    """Stop records. Without a period it is taken from each file's name (2026-03 or 2026)."""
+    """Stop records. Without a period it is taken from each file's name, services-2026-03 or
+    services-2026 with any ending, or from the name of its folder."""
     raw = _scan_positional(spark, paths, schemas.ARCHIVE_SERVICE_FIELDS, multi_line)
     columns = [
         _parsed(f, _SERVICE_BOOLEANS, _SERVICE_NUMBERS, _SERVICE_BLANKABLE)
@@ -83,7 +85,8 @@ def read_disruptions(
     ingested_at: Column | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
-    """Archived disruptions. Without a year it is taken from each file's name."""
+    """Archived disruptions. Without a year it is taken from the name of each file or its
+    folder, disruptions-2025 with any ending."""
     raw = _scan_positional(spark, paths, schemas.ARCHIVE_DISRUPTION_FIELDS, multi_line)
     columns = [
         _parsed(f, set(), {"duration_minutes"}, _DISRUPTION_BLANKABLE)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from linewatch.functions.columns import restore_empty
@@ -19,9 +22,20 @@ HEADER_NAMES = {
 def read_traffic_csv(
     spark: SparkSession, paths: str | list[str], service_date: Column | str,
 ) -> DataFrame:
-    """Road readings. A column whose header is absent gets '' or 0."""
-    raw = spark.read.csv(paths, header=True, quote='"', escape='"')
+    """Road readings. A column whose header is absent gets '' or 0.
+
+    Each given path, a file or a folder, has a header of its own; paths of equal headers are one
+    scan. Files inside a folder must share their header: another one ends the job with an error.
+    """
+    options = {"header": True, "quote": '"', "escape": '"', "enforceSchema": False}
+    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for path in [paths] if isinstance(paths, str) else paths:
+        by_header[tuple(spark.read.csv(path, **options).columns)].append(path)
+    return reduce(DataFrame.unionByName, [
+        _readings(spark.read.csv(same, **options), service_date) for same in by_header.values()])
+
 
+def _readings(raw: DataFrame, service_date: Column | str) -> DataFrame:
     def pick(name: str, default: str | int) -> Column:
         header = next((h for h in HEADER_NAMES[name] if h in raw.columns), None)
         return F.lit(default) if header is None else F.col(f"`{header}`")

@@ -103,10 +103,21 @@ def load_csv(
     spark: SparkSession, paths: str | list[str], target: str, schema: T.StructType | None = None,
     partition_field: str = "service_date",
 ) -> None:
-    """CSV with a header into a day-partitioned table, replacing the days it holds."""
-    reader = spark.read.options(header=True, quote='"', escape='"')
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    overwrite_partitions(reader.csv(paths), target, [partition_field])
+    """CSV with a header into a day-partitioned table, replacing the days it holds.
+
+    The first load takes the given schema or infers one. Later loads take columns by name and
+    types from the table, so its days never disagree; new columns are left out, missing ones are
+    NULL, and a value that does not fit its type ends the load.
+    """
+    reader = spark.read.options(header=True, quote='"', escape='"', enforceSchema=False)
+    existing = read_if_present(spark, target)
+    if existing is not None:
+        rows = with_existing_schema(reader.csv(paths), existing.schema)
+    elif schema is not None:
+        rows = reader.schema(schema).csv(paths)
+    else:
+        rows = reader.option("inferSchema", True).csv(paths)
+    overwrite_partitions(rows, target, [partition_field])
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:

@@ -65,12 +65,13 @@ add("stg_rdt_disruptions_trimmed", """
         array_to_string(list_transform(codes, lambda x: trim(x)), '|') as affected_station_codes,
         len(codes) as stations_affected_count
     from stg_archive_disruptions""")
-add("stg_ns_departures", f"""
+ORACLE_STG_LIVE = f"""
     select station_code, {days('service_date')}, 'ns_api_v2' as data_source, direction, train_name,
         {stamp('planned_ts')} as planned_departure_ts, {stamp('actual_ts')} as actual_departure_ts,
         train_category, is_cancelled, departure_status, planned_track, actual_track, train_number,
         operator_name, category_long_name, delay_minutes, departure_id
-    from stg_live""")
+    from stg_live"""
+add("stg_ns_departures", ORACLE_STG_LIVE)
 add("stg_ns_disruptions", f"""
     select disruption_id, {days('service_date')}, 'ns_api_v3' as data_source, disruption_type,
         'Disruption ' || k as title, false as is_active,
@@ -81,6 +82,9 @@ add("stg_ns_disruptions", f"""
         k % 5 + 1 as impact_score, cause, array_to_string(codes, '|') as affected_station_codes,
         len(codes) as stations_affected_count, k % 600 + 2 as duration_minutes
     from stg_live_disruptions""")
+ORACLE["disruption_feed_reload"] = ORACLE["stg_ns_disruptions"]
+add("recent_departures", ORACLE_STG_LIVE, live_polls=CTES["live_polls"]
+    + " and service_date >= date '2026-04-01'")
 _WEATHER_MEASURES = ["avg_temp_c", "min_temp_c", "max_temp_c", "precipitation_mm",
                      "precipitation_duration_h", "avg_wind_speed_ms", "max_wind_gust_ms",
                      "avg_wind_speed_kmh", "max_wind_gust_kmh"]
@@ -432,6 +436,9 @@ def _quality_rows() -> str:
         "stg_ndw_traffic_flow": ("stg_roads", {"measurement_ts": "quarter"}),
         "int_train_delays_daily": ("train_days", {}),
         "int_ndw_traffic_daily": ("road_days", {}),
+        "dim_stations": ("lk_corridors", {}),
+        "dim_date": ("d_dates", {"date": "service_date"}),
+        "dim_ndw_locations": ("d_roads", {}),
         "fct_train_performance": ("f_train", {}),
         "fct_road_traffic": ("f_road", {}),
         "dm_multimodal_daily": ("mart", {}),
@@ -442,7 +449,7 @@ def _quality_rows() -> str:
             rows.append(f"select 'not_null' as \"check\", '{table}' as \"table\", '{column}' as "
                         f"\"column\", count(*) filter ({names.get(column, column)} is null) "
                         f"as failures from {source}")
-        for column in quality.UNIQUE.get(table, []):
+        if column := quality.UNIQUE.get(table):
             c = names.get(column, column)
             rows.append(f"select 'unique', '{table}', '{column}', count(*) from (select {c} from "
                         f"{source} where {c} is not null group by 1 having count(*) > 1)")
@@ -464,7 +471,10 @@ add("feed_freshness", f"""
                 timestamp '{reg.FRESHNESS_NOW}' as now_ts from raw_polls
             union all
             select 'ns_disruptions', max(service_date) + to_hours(10),
-                timestamp '2026-05-02 08:00:00' from stg_live_disruptions))""")
+                timestamp '2026-05-02 08:00:00' from stg_live_disruptions
+            union all
+            select 'ndw_traffic_flow', max(service_date + to_minutes(quarter)),
+                timestamp '2026-04-16 08:00:00' from stg_roads))""")
 
 # Loads and maintenance ------------------------------------------------------------------------
 
@@ -482,6 +492,19 @@ add("partition_overwrite", f"""
     select {days('r.service_date')}, count(*) as readings,
         sum(vehicle_count + if(r.service_date >= date '2026-04-01', 1000, 0))::bigint as vehicles
     from stg_roads r group by r.service_date""")
+add("services_backfill", f"""
+    select strftime(service_date, '%Y-%m') as month,
+        if(month(service_date) = 2, '2026-02', '2026') as period, count(*) as stops,
+        sum(max_delay)::bigint as delay, count(distinct station_code) as stations
+    from raw_services where month(service_date) <> 2 or not platform_change
+    group by 1, 2""")
+ORACLE["road_csv_load"] = ORACLE["stg_ndw_traffic_flow"]
+ORACLE["daily_refresh"] = ORACLE["dm_multimodal_daily"]
+add("csv_table_load", f"""
+    select {days('r.service_date')}, count(*) as readings,
+        if(r.service_date >= date '2026-04-01', 0, count(*)) as speeds,
+        sum(vehicle_count)::bigint as vehicles, 5::bigint as fields
+    from raw_roads r group by r.service_date""")
 add("poll_appends", f"""
     select departure_id, station_code, {days('service_date')}, train_number, delay_minutes
     from stg_live""")
