@@ -150,8 +150,10 @@ add("fct_road_traffic", f"""
     from f_road""")
 _CALENDAR = "day_of_week, week_number, month, season, is_holiday, is_weekend"
 _TRAIN_MART = "pct_on_time, avg_delay_min, total_departures, disruption_count, severe_delay_share"
-_ROAD_MART = ", ".join(reg.core.ROAD_MART_COLUMNS)
-_WEATHER_MART = ", ".join(reg.core.WEATHER_MART_COLUMNS)
+_ROAD_MART = """avg_road_speed_kmh, total_vehicle_count, total_congestion_minutes,
+    road_speed_vs_baseline_pct"""
+_WEATHER_MART = """avg_temp_c, min_temp_c, max_temp_c, precipitation_mm, precipitation_duration_h,
+    avg_wind_speed_kmh, max_wind_gust_kmh, is_stormy, is_heavy_rain"""
 _MART = f"""corridor_id, corridor_name, {days('service_date')}, {_CALENDAR}, {_TRAIN_MART},
     {_ROAD_MART}, {_WEATHER_MART}"""
 add("dm_multimodal_daily", f"select {_MART} from mart")
@@ -449,7 +451,7 @@ def _quality_rows() -> str:
             rows.append(f"select 'not_null' as \"check\", '{table}' as \"table\", '{column}' as "
                         f"\"column\", count(*) filter ({names.get(column, column)} is null) "
                         f"as failures from {source}")
-        if column := quality.UNIQUE.get(table):
+        for column in quality.UNIQUE.get(table, []):
             c = names.get(column, column)
             rows.append(f"select 'unique', '{table}', '{column}', count(*) from (select {c} from "
                         f"{source} where {c} is not null group by 1 having count(*) > 1)")

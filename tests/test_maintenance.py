@@ -64,6 +64,29 @@ def test_landing_archives(spark, tmp_path, rows):
     assert rows(spark.read.parquet(target).groupBy("day").count(), "count") == [(20,), (5,)]
 
 
+def test_later_csv_loads_keep_the_schema_of_the_table(spark, tmp_path, rows):
+    target, later = str(tmp_path / "t"), tmp_path / "later.csv"
+    (tmp_path / "first.csv").write_text("n,name,day\n1,a,2026-03-01\n2,b,2026-03-02\n")
+    sinks.load_csv(spark, str(tmp_path / "first.csv"), target, partition_field="day")
+    types = spark.read.parquet(target).schema
+    later.write_text("extra,day,n\nx,2026-03-02,7\n")
+    for _ in range(2):
+        sinks.load_csv(spark, str(later), target, partition_field="day")
+    table = spark.read.parquet(target)
+    assert table.schema == types
+    assert rows(table, "n", "name") == [(1, "a"), (7, None)]
+    later.write_text("day,n\n2026-03-02,many\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        sinks.load_csv(spark, str(later), target, partition_field="day")
+    assert rows(spark.read.parquet(target), "n", "name") == [(1, "a"), (7, None)]
+
+
+def test_each_table_is_checked_in_one_evaluation(spark):
+    dates = spark.range(9).selectExpr("cast(id % 4 as string) as date")
+    plan = quality.quality_report({"dim_date": dates})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1
+
+
 def test_merge_replaces_null_safe_keys_and_touches_only_its_days(spark, tmp_path, rows):
     path = str(tmp_path / "fact")
     start = spark.createDataFrame([
