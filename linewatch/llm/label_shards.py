@@ -2,8 +2,8 @@
 
 Balanced label propagation: a document's label is its shard, its links are the documents of the
 same text. In every round each linked document would move to the shard most of its neighbours
-are in; as many move as that shard's quota allows, the largest groups first. Documents without
-links make room at the end, which cuts nothing.
+are in; as many move as that shard's quota allows, the largest groups first. Full shards make room
+at the end: documents without links leave first, which cuts nothing, then the smallest groups.
 """
 
 from __future__ import annotations
@@ -72,8 +72,9 @@ def label_shards(docs: DataFrame, key: str, text: str, shards: int = SHARDS) ->
     """key, size, text_crc32, shard and slot for every row.
 
     Row counts of shards differ by one at most. Rows of equal text share a shard unless the text
-    has more rows than the room there is. A null text has no links and the checksum of no bytes;
-    an empty one is a text. Repeated rows and repeated or null keys are rows of their own.
+    has more rows than the room there is, or equal counts need a group cut where no unlinked rows
+    are left to move. A null text has no links and the checksum of no bytes; an empty one is a
+    text. Repeated rows and repeated or null keys are rows of their own.
 
     Texts are read once, for their length and digests; all rounds work on a few numbers a row.
     Groups of any size are counted before the shuffle and ranked over many tasks.
@@ -100,18 +101,34 @@ def label_shards(docs: DataFrame, key: str, text: str, shards: int = SHARDS) ->
     now = staged(base.join(linked, F.col("_rid") == F.col("_linked"), "left").withColumn(
         "_shard", F.coalesce("_label", "_shard")), "labelled")
 
-    # documents without links move from full shards into room that is left
+    # rows move from full shards into room that is left: unlinked ones, and where these do not
+    # suffice, linked ones by the size of their group in the shard; a group stays in one piece
+    # where the room allows
     sizes = _per_shard(now, "_shard", shards)
     surplus = [max(0, n - c) for n, c in zip(sizes, caps, strict=True)]
     room = list(accumulate(max(0, c - n) for n, c in zip(sizes, caps, strict=True)))
     before = [0, *accumulate(surplus)][:-1]
-    singles = now.where(F.col("_linked").isNull()).select("_rid", "_shard")
-    singles = numbered(singles, ["_shard"], [F.col("_rid")], "_rank", F.xxhash64("_rid"), 256)
+    free = _per_shard(now.where(F.col("_linked").isNull()), "_shard", shards)
+    scarce = [int(n > f) for n, f in zip(surplus, free, strict=True)]
+    leaving = now.where(F.col("_linked").isNull()).select(
+        "_rid", "_shard", *[F.lit(None).cast("long").alias(g) for g in _GROUP],
+        F.pmod(F.xxhash64("_rid"), F.lit(256)).alias("_spread"))
+    if any(scarce):
+        # buckets follow the size, so that small groups leave first and no large one is one task
+        held = now.where(F.col("_linked").isNotNull() & (_of(scarce, "_shard") == 1))
+        votes = held.groupBy(*_GROUP, "_shard").agg(F.count(F.lit(1)).alias("_votes"))
+        level = F.least(F.lit(63), F.floor(F.log2("_votes") * 2))
+        part = F.when(F.col("_votes") > LARGE_GROUP, F.floor(F.col("_rid") * 64 / F.lit(total))
+                      ).otherwise(F.pmod(F.xxhash64(*_GROUP), F.lit(64)))
+        leaving = leaving.unionByName(held.join(votes, [*_GROUP, "_shard"]).select(
+            "_rid", "_shard", *_GROUP, (256 + level * 64 + part).alias("_spread")))
+    leaving = numbered(leaving, ["_shard"], [*[F.col(g) for g in _GROUP], F.col("_rid")], "_rank",
+                       F.col("_spread"), 256 + 64 * 64)
     place = _of(before, "_shard") + F.col("_rank")
     into = F.lit(shards - 1)
     for s in reversed(range(shards - 1)):
         into = F.when(place < room[s], F.lit(s)).otherwise(into)
-    evicted = singles.where(F.col("_rank") < _of(surplus, "_shard")).select(
+    evicted = leaving.where(F.col("_rank") < _of(surplus, "_shard")).select(
         F.col("_rid").alias("_out"), into.cast("int").alias("_into"))
     placed = now.join(evicted, F.col("_rid") == F.col("_out"), "left").select(
         F.col("_key").alias(key), "size", "text_crc32", "_rid",

@@ -94,6 +94,26 @@ def test_shards_are_even_and_keep_copies_together(documents, edges):
     assert label_shards.label_shards(documents("a").limit(0), "doc_id", "text").count() == 0
 
 
+@pytest.mark.parametrize("groups, single", [
+    ((1000, 750), 1250), ((1000, 500, 500), 1000), ((700, 600, 500, 400, 300), 0),
+    ((2,) * 300 + (3,) * 100, 0), ((1500, *(2,) * 300), 0)])
+def test_shards_are_even_where_unlinked_rows_do_not_suffice(documents, groups, single):
+    texts = [f"group {i}" for i, n in enumerate(groups) for _ in range(n)] + [
+        f"single {i}" for i in range(single)]
+    random.Random(3).shuffle(texts)
+    rows = label_shards.label_shards(documents(*texts), "doc_id", "text", 16).collect()
+    sizes = Counter(r.shard for r in rows)
+    assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
+    assert len(sizes) == 16 and max(sizes.values()) - min(sizes.values()) <= 1
+    for s, n in sizes.items():
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(n))
+    where = {}
+    for r in rows:
+        where.setdefault(texts[r.doc_id], set()).add(r.shard)
+    if max(groups) <= 3:  # most small groups stay whole
+        assert sum(len(w) > 1 for w in where.values()) <= len(groups) / 4
+
+
 # 3 --------------------------------------------------------------------------------------------
 
 def test_vantage_trees_with_factor_one_are_exact(spark):
