@@ -6,6 +6,8 @@ Viterbi over the words of a text, with a penalty for every change of language, l
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,21 +39,24 @@ SCRIPTS = [
     ("Greek", 0x1F00, 0x1FFF), ("Kana", 0x3040, 0x30FF), ("Han", 0x3400, 0x9FFF),
     ("Hangul", 0xAC00, 0xD7AF),
 ]
-NAMES = ["", *dict.fromkeys(s for s, _, _ in SCRIPTS)]
-_LOW = np.array([a for _, a, _ in SCRIPTS])
-_HIGH = np.array([b for _, _, b in SCRIPTS])
-_SCRIPT = np.array([NAMES.index(s) for s, _, _ in SCRIPTS])
+#: Letters outside the table are of the script "other"; it is first, so that a word with letters
+#: of a listed script is of that one.
+NAMES = ["", "other", *dict.fromkeys(s for s, _, _ in SCRIPTS)]
+_SCRIPT = np.array(
+    [unicodedata.category(chr(c))[0] == "L" for c in range(sys.maxunicode + 1)], np.uint8)
+for _name, _low, _high in SCRIPTS:
+    _SCRIPT[_low: _high + 1] = NAMES.index(_name)
 
 
 def scripts_of_words(w: W.Words) -> np.ndarray:
-    """The script of each word's letters, 0 without letters of a known script."""
+    """The script of each word's letters, 0 without letters."""
     b = np.concatenate([w.data, np.zeros(3, np.uint8)]).astype(np.int64)
-    one, two, three = b[:-3], b[1:-2] & 63, b[2:-1] & 63
+    one, two, three, four = b[:-3], b[1:-2] & 63, b[2:-1] & 63, b[3:] & 63
     point = np.where(one < 0x80, one, np.where(
         one < 0xC0, 0, np.where(one < 0xE0, (one & 31) << 6 | two, np.where(
-            one < 0xF0, (one & 15) << 12 | two << 6 | three, 0))))
-    at = np.maximum(np.searchsorted(_LOW, point, "right") - 1, 0)
-    script = np.where((point >= _LOW[at]) & (point <= _HIGH[at]), _SCRIPT[at], 0)
+            one < 0xF0, (one & 15) << 12 | two << 6 | three,
+            (one & 7) << 18 | two << 12 | three << 6 | four))))
+    script = _SCRIPT[np.minimum(point, sys.maxunicode)].astype(np.int64)
     return np.maximum.reduceat(script, w.start) if len(w.start) else np.zeros(0, np.int64)
 
 
@@ -160,7 +165,8 @@ def _joined(parts: list[W.Words]) -> np.ndarray:
 
 def predicted(docs: DataFrame, text: str, model: Model, switch: float = SWITCH) -> DataFrame:
     """docs with lang_pred, score (share of the bytes of words with letters that is in it) and
-    spans (lang, start_word, n_words). Null texts, texts without a letter, and every text if
+    spans (lang, start_word, n_words). Words in letters outside the table of scripts count if a
+    learned language has such letters, else they have no weight. Null texts, texts without a letter, and every text if
     nothing was learned: `und`, 0 and no spans. Columns of these names are replaced."""
     prepare(docs.sparkSession)
     made = ("lang_pred", "score", "spans")
@@ -168,6 +174,7 @@ def predicted(docs: DataFrame, text: str, model: Model, switch: float = SWITCH)
     source = docs.select(
         *names, (F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))).alias("_letters"))
     at, languages = names.index(text), model.languages
+    least = 1 if model.allowed[NAMES.index("other")].any() else 2
     span = pa.struct([("lang", pa.string()), ("start_word", pa.int32()), ("n_words", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +188,7 @@ def predicted(docs: DataFrame, text: str, model: Model, switch: float = SWITCH)
                 w = W.cut(texts[i:j])
                 parts.append(w)
                 scores.append(word_scores(w, model))
-                weight.append(np.where(scripts_of_words(w) > 0, w.end - w.start, 0))
+                weight.append(np.where(scripts_of_words(w) >= least, w.end - w.start, 0))
             word_at, weight = _joined(parts), np.concatenate(weight)
             label = viterbi(np.concatenate(scores), word_at, switch) if languages else \
                 np.zeros(len(weight), np.int8)

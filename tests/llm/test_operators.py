@@ -313,6 +313,23 @@ def test_languages_of_mixed_text(documents, edges):
         documents("word"), "text", nothing).collect()} == {"und"}
 
 
+def test_languages_in_scripts_outside_the_table_are_learned(spark, documents):
+    words = {
+        "am": "ሰላም ልጅ ቤት ውሃ መንገድ ትምህርት", "en": "the other thing with this where",
+        "ff": "𞤀𞤣𞤤𞤢𞤥 𞤨𞤵𞤤𞤢𞤪 𞤶𞤢𞤲𞤺𞤮 𞤬𞤵𞤤𞤬𞤵𞤤𞤣𞤫", "gu": "ગુજરાતી ભાષા પાણી ઘર છોકરો શાળા"}
+    train = spark.createDataFrame(
+        [(f"{x}{i}", x, " ".join(random.Random(i).choices(w.split(), k=30)))
+         for x, w in words.items() for i in range(5)], "doc_id string, lang string, text string")
+    model = span_language.learn(train, "doc_id", "text", "lang")
+    texts = [*words.values(), f"{words['en']} {words['gu']}", "n\u00ba \u00ba \u2019 the \U0001F600 2024"]
+    got = span_language.predicted(documents(*texts), "text", model).orderBy("doc_id").collect()
+    assert [(r.lang_pred, r.score) for r in got[:4]] == [(x, 1.0) for x in words]
+    assert [s.lang for s in got[4].spans] == ["en", "gu"] and got[5].lang_pred == "en"
+    english = span_language.learn(train.where("lang = 'en'"), "doc_id", "text", "lang")
+    got = span_language.predicted(documents(*texts), "text", english).orderBy("doc_id").collect()
+    assert [r.score for r in got[:5]] == [0.0, 1.0, 0.0, 0.0, 1.0]
+
+
 def test_viterbi_equals_brute_force():
     rng = np.random.default_rng(8)
     sizes = [0, 1, 7, 3, 7]
