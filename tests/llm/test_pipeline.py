@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -57,6 +59,24 @@ def test_each_stage_over_all_that_the_one_before_kept(spark):
             assert p.ids_crc32 == zlib.crc32(ids[p.start: p.start + p.length].tobytes())
 
 
+def test_line_dedup_drops_the_common_lines_of_a_source(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    before = docs.collect()
+    size, held = Counter(r.source for r in before), Counter()
+    for r in before:
+        held.update({(r.source, x.strip(" ")) for x in (r.text or "").split("\n")} - {(r.source, "")})
+    gone = {k for k, n in held.items() if n >= 5 and n > pipeline.SOURCE_RATIO * size[k[0]]}
+    want = {}
+    for r in before:
+        lines = None if r.text is None else r.text.split("\n")
+        kept = lines and [x for x in lines if (r.source, x.strip(" ")) not in gone]
+        if lines == kept or re.search(r"[^\x20\x09-\x0d]", "\n".join(kept)):
+            want[r.doc_id] = kept if kept is None else "\n".join(kept)
+    assert len(gone) > 10 and sum(want.get(r.doc_id) != r.text for r in before) > 100
+    after = pipeline.line_dedup(spark, docs, "").collect()
+    assert len(after) == len(want) and {r.doc_id: r.text for r in after} == want
+
+
 def test_empty_documents(spark, tmp_path):
     table(spark, SMALL, "documents").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert pipeline.run(spark, str(tmp_path)).count() == 0
