@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -399,6 +400,19 @@ def test_boilerplate_of_a_site_goes(spark):
     assert got[30].kept_lines is None and got[31].kept_lines == [""] and len(got) == len(rows)
 
 
+def test_site_lines_equal_the_sql_where_lines_are_dropped(spark, tmp_path):
+    rows = [(i, f"https://H{i % 3}.org/{i}", f"<p>top {i % 3}</p><p> top {i % 3}</p><b>own {i}</b>"
+             + "<i>foot</i>" * (i % 4 == 0)) for i in range(40)] + [
+        (100 + i, "http://small.org/x", "<p>kept</p>") for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted(map(tuple, line_frequency.op10_site_lines(spark, str(tmp_path)).collect()))
+    duck = duckdb.connect()
+    duck.sql(f"create view pages as from '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == sorted(duck.sql(line_frequency.OP10_SQL).fetchall())
+    assert all(r[3] == 2 for r in got[:40]) and all(r[3] == 0 for r in got[40:])
+
+
 # shared ---------------------------------------------------------------------------------------
 
 def test_components_and_numbers(spark):
