@@ -7,8 +7,10 @@ from linewatch.llm.label_shards import op2_label_shards
 from linewatch.llm.line_frequency import OP10_SQL, op10_site_lines
 from linewatch.llm.multi_order_join import OP6_SQL, op6_multi_order_join
 from linewatch.llm.piece_viterbi import op4_piece_viterbi
+from linewatch.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from linewatch.llm.range_coder import op5_range_coder
 from linewatch.llm.repetition import op1_repetition
+from linewatch.llm.simhash_trie import op13_simhash_trie
 from linewatch.llm.span_language import op8_span_language
 from linewatch.llm.sparse_suffixes import OP7_SQL, op7_repeated_passages
 from linewatch.llm.vantage_trees import op3_vantage_trees
@@ -24,10 +26,13 @@ REGISTRY = {
     "op8_span_language": op8_span_language,
     "op9_cutting_stock": op9_cutting_stock,
     "op10_site_lines": op10_site_lines,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op13_simhash_trie": op13_simhash_trie,
 }
 
 ORACLE = {
     "op6_multi_order_join": OP6_SQL,
     "op7_repeated_passages": OP7_SQL,
     "op10_site_lines": OP10_SQL,
+    "op11_prefix_trie": OP11_SQL,
 }
