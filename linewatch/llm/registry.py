@@ -6,6 +6,7 @@ from linewatch.llm.cutting_stock import op9_cutting_stock
 from linewatch.llm.label_shards import op2_label_shards
 from linewatch.llm.line_frequency import OP10_SQL, op10_site_lines
 from linewatch.llm.multi_order_join import OP6_SQL, op6_multi_order_join
+from linewatch.llm.phrase_counting import OP12_SQL, op12_phrase_counting
 from linewatch.llm.piece_viterbi import op4_piece_viterbi
 from linewatch.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from linewatch.llm.range_coder import op5_range_coder
@@ -27,6 +28,7 @@ REGISTRY = {
     "op9_cutting_stock": op9_cutting_stock,
     "op10_site_lines": op10_site_lines,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_phrase_counting": op12_phrase_counting,
     "op13_simhash_trie": op13_simhash_trie,
 }
 
@@ -35,4 +37,5 @@ ORACLE = {
     "op7_repeated_passages": OP7_SQL,
     "op10_site_lines": OP10_SQL,
     "op11_prefix_trie": OP11_SQL,
+    "op12_phrase_counting": OP12_SQL,
 }
