@@ -8,8 +8,8 @@ from linewatch.llm.common import table
 
 #: A line goes when more than this share of its host's pages hold it ...
 MAX_RATIO = 0.3
-#: ... and at least so many pages do: on a host of two pages every line has a ratio of a half.
-MIN_PAGES = 5
+#: ... and at least so many pages do: a line that only one page has is no repetition.
+MIN_PAGES = 2
 
 #: Where a page's markup breaks into lines; scripts, styles and comments are breaks as a whole.
 MARKUP = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>|\n"
@@ -41,23 +41,27 @@ def boilerplate(pages: DataFrame, max_ratio: float, min_pages: int) -> DataFrame
 
 def drop_boilerplate(
     pages: DataFrame, key: str, host: Column, lines: Column,
-    max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
+    max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, counted: DataFrame | None = None,
 ) -> DataFrame:
     """pages with n_lines, n_dropped and kept_lines (array, null where lines is null).
 
     Lines are compared without spaces at their ends; blank lines count for nothing and stay. Every
     row is a page, also a repeated one. A null host is a host; a null key is a key. Columns of
-    pages named kept_lines, n_lines or n_dropped are replaced. No page is dropped.
+    pages named kept_lines, n_lines or n_dropped are replaced. No page is dropped. counted: the pages
+    that the ratio is taken over, all of them if not given.
 
     Only digests and counts are shuffled; texts move once, and only if pages with dropped lines
     are too many to send to the scans. A host or a line with a third of all rows is combined
     before the shuffle; in the joins nothing is grouped by host.
     """
     # hosts are 64-bit digests, so that aggregation buffers have a fixed width
-    work = pages.drop("kept_lines", "n_lines", "n_dropped").withColumns(
-        {"_host": F.xxhash64(F.coalesce(host, F.lit("\0"))), "_lines": lines})
+    def cut(df: DataFrame) -> DataFrame:
+        return df.drop("kept_lines", "n_lines", "n_dropped").withColumns(
+            {"_host": F.xxhash64(F.coalesce(host, F.lit("\0"))), "_lines": lines})
+
+    work = cut(pages)
     hits = _line_rows(work, key).join(
-        boilerplate(work, max_ratio, min_pages), ["_d1", "_d2"], "left_semi")
+        boilerplate(work if counted is None else cut(counted), max_ratio, min_pages), ["_d1", "_d2"], "left_semi")
     by_page = hits.groupBy(F.col(key).alias("_key"), F.col("_host").alias("_of")).agg(
         F.collect_set("_d1").alias("_gone"))
     gone = F.coalesce("_gone", F.array().cast("array<bigint>"))

@@ -16,11 +16,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from linewatch.llm import words as W
-from linewatch.llm.common import prepare, staged, table
+from linewatch.llm.common import hinted, prepare, staged, table
 
 #: Labelled documents of each language that the scores are learned from, at most: the bound of the
 #: sample. Which ones they are follows a hash of their id.
 SAMPLE = 2_000
+#: So many times the sample are drawn before the smallest hashes are taken.
+MARGIN = 4
+#: Different labels, at most: the bound of the model and of what the driver is sent.
+LANGUAGES = 1_000
 #: Log-probability lost with each change of language.
 SWITCH = 12.0
 #: Trigrams are hashed to so many numbers.
@@ -48,16 +52,25 @@ for _name, _low, _high in SCRIPTS:
     _SCRIPT[_low: _high + 1] = NAMES.index(_name)
 
 
+#: Bytes of text that are scored together.
+SLICE_BYTES = 256_000
+
+
 def scripts_of_words(w: W.Words) -> np.ndarray:
     """The script of each word's letters, 0 without letters."""
-    b = np.concatenate([w.data, np.zeros(3, np.uint8)]).astype(np.int64)
-    one, two, three, four = b[:-3], b[1:-2] & 63, b[2:-1] & 63, b[3:] & 63
-    point = np.where(one < 0x80, one, np.where(
-        one < 0xC0, 0, np.where(one < 0xE0, (one & 31) << 6 | two, np.where(
+    if not len(w.start):
+        return np.zeros(0, np.uint8)
+    b = w.data
+    script = np.where(b < 0x80, _SCRIPT[b], np.uint8(0))
+    lead = np.flatnonzero(b >= 0xC0)  # where a longer character begins
+    if len(lead):
+        one, two, three, four = (
+            b[np.minimum(lead + k, len(b) - 1)].astype(np.int64) & (63 if k else 255) for k in range(4))
+        point = np.where(one < 0xE0, (one & 31) << 6 | two, np.where(
             one < 0xF0, (one & 15) << 12 | two << 6 | three,
-            (one & 7) << 18 | two << 12 | three << 6 | four))))
-    script = _SCRIPT[np.minimum(point, sys.maxunicode)].astype(np.int64)
-    return np.maximum.reduceat(script, w.start) if len(w.start) else np.zeros(0, np.int64)
+            (one & 7) << 18 | two << 12 | three << 6 | four))
+        script[lead] = _SCRIPT[np.minimum(point, sys.maxunicode)]
+    return np.maximum.reduceat(script, w.start)
 
 
 def trigrams(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -76,14 +89,28 @@ class Model:
     allowed: np.ndarray  # (scripts, languages)
 
 
+def draw(key: Column | str) -> Column:
+    """A number from 0 to 2^63 - 1 by the hash of a key."""
+    return F.shiftrightunsigned(F.xxhash64(key), 1)
+
+
 def learn(labelled: DataFrame, key: str, text: str, lang: str, sample: int = SAMPLE) -> Model:
-    """A model from at most `sample` rows of each non-null language that have a text."""
+    """A model from at most `sample` rows of each non-null language that have a text: those with the
+    smallest hashes of their key. Rows of equal key and language are in the sample together."""
     prepare(labelled.sparkSession)
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(key).alias("_key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("_key"), "_key"))
-    chosen = rows.select("_key", "lang").withColumn("_place", place).where(
-        F.col("_place") <= sample).select("_key", "lang")
+    # rows are drawn by a hash of their key: first so many that the smallest hashes are among them,
+    # then those; a language of very many rows is never ranked as a whole
+    many = hinted(staged(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_many")), "languages"))
+    if many.count() > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} different labels")
+    drawn = rows.select("_key", "lang", draw("_key").alias("_draw")).join(many, "lang").where(
+        F.col("_draw") / float(1 << 63) * F.col("_many") < MARGIN * sample).select(
+        "_key", "lang", "_draw").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("_draw", "_key"))
+    chosen = hinted(staged(drawn.withColumn("_place", place).where(
+        F.col("_place") <= sample).select("_key", "lang"), "sample"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,7 +142,7 @@ def learn(labelled: DataFrame, key: str, text: str, lang: str, sample: int = SAM
     return Model(languages, scores.astype(np.float32), allowed)
 
 
-def word_scores(w: W.Words, model: Model) -> np.ndarray:
+def word_scores(w: W.Words, model: Model, script: np.ndarray | None = None) -> np.ndarray:
     """(words, languages); all 0 where no language has the word's script."""
     n = len(w.start)
     out = np.zeros((n, len(model.languages)), np.float32)
@@ -124,7 +151,7 @@ def word_scores(w: W.Words, model: Model) -> np.ndarray:
     gram, inside = trigrams(w)
     for k in range(len(model.languages)):
         out[:, k] = np.add.reduceat(np.where(inside, model.scores[k][gram], np.float32(0)), w.start)
-    may = model.allowed[scripts_of_words(w)]
+    may = model.allowed[scripts_of_words(w) if script is None else script]
     any_ = may.any(1)
     out[~any_] = 0
     out[any_[:, None] & ~may] = -1e4
@@ -136,21 +163,22 @@ def viterbi(scores: np.ndarray, word_at: np.ndarray, switch: float = SWITCH) ->
     sizes = np.diff(word_at)
     lanes = np.argsort(-sizes, kind="stable")
     first, sizes = word_at[:-1][lanes], sizes[lanes]
-    label = np.zeros(len(scores), np.int8)
+    kind = np.int8 if scores.shape[1] <= 127 else np.int16
+    label = np.zeros(len(scores), kind)
     if not len(sizes) or not sizes[0]:
         return label
     active = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")  # texts longer than t
     state = np.zeros((len(sizes), scores.shape[1]), np.float32)
-    own = np.arange(scores.shape[1], dtype=np.int8)
+    own = np.arange(scores.shape[1], dtype=kind)
     back = []
     for t, k in enumerate(active):
         s = state[:k]
         top = s.argmax(1)
         change = s[np.arange(k), top][:, None] - np.float32(switch)
         stays = s >= change
-        back.append(np.where(stays, own, top[:, None].astype(np.int8)))
+        back.append(np.where(stays, own, top[:, None].astype(kind)))
         state[:k] = np.where(stays, s, change) + scores[first[:k] + t]
-    now = state.argmax(1).astype(np.int8)
+    now = state.argmax(1).astype(kind)
     for t in range(len(active) - 1, -1, -1):
         k = active[t]
         label[first[:k] + t] = now[:k]
@@ -158,11 +186,6 @@ def viterbi(scores: np.ndarray, word_at: np.ndarray, switch: float = SWITCH) ->
     return label
 
 
-def _joined(parts: list[W.Words]) -> np.ndarray:
-    sizes = np.concatenate([np.diff(p.word_at) for p in parts])
-    return np.concatenate([[0], np.cumsum(sizes)])
-
-
 def predicted(docs: DataFrame, text: str, model: Model, switch: float = SWITCH) -> DataFrame:
     """docs with lang_pred, score (share of the bytes of words with letters that is in it) and
     spans (lang, start_word, n_words). Words in letters outside the table of scripts count if a
@@ -184,14 +207,16 @@ def predicted(docs: DataFrame, text: str, model: Model, switch: float = SWITCH)
                 continue
             texts = W.large(batch.column(at))
             parts, scores, weight = [], [], []
-            for i, j in W.slices(texts):
+            for i, j in W.slices(texts, SLICE_BYTES):
                 w = W.cut(texts[i:j])
-                parts.append(w)
-                scores.append(word_scores(w, model))
-                weight.append(np.where(scripts_of_words(w) >= least, w.end - w.start, 0))
-            word_at, weight = _joined(parts), np.concatenate(weight)
+                script = scripts_of_words(w)
+                parts.append(np.diff(w.word_at))
+                scores.append(word_scores(w, model, script))
+                weight.append(np.where(script >= least, w.end - w.start, 0))
+            word_at = np.concatenate([[0], np.cumsum(np.concatenate(parts))])
+            weight = np.concatenate(weight)
             label = viterbi(np.concatenate(scores), word_at, switch) if languages else \
-                np.zeros(len(weight), np.int8)
+                np.zeros(len(weight), np.int64)
             of = np.repeat(np.arange(n), np.diff(word_at))
             k = max(len(languages), 1)
             mass = np.bincount(of * k + label, weight, n * k).reshape(n, k)

@@ -134,12 +134,15 @@ def nearest(
 
     Rows whose vector or id is null, and vectors that are zero or hold a null, NaN or infinite
     component take no part; nor do vectors of another length than the query's. Repeated rows are
-    repeated neighbours. Shards and query blocks are of bounded size and spread by hash, so equal
+    repeated neighbours; repeated rows of a query are one query, of several vectors of one query id
+    the first in order counts. Shards and query blocks are of bounded size and spread by hash, so equal
     vectors do not meet in one task; each task has one of each and gives k rows a query.
     """
     prepare(vectors.sparkSession)
     base = staged(usable(vectors, key, vector).withColumn("dim", F.size("v")), "vectors")
-    asked = staged(usable(queries, key, vector).withColumn("dim", F.size("v")), "queries")
+    # rows of one query id would share its ranks
+    asked = staged(usable(queries, key, vector).groupBy("id").agg(F.min("v").alias("v")).withColumn(
+        "dim", F.size("v")), "queries")
     norms = base.groupBy("dim").agg(F.max(F.sqrt(F.aggregate(
         "v", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"), F.count(F.lit(1)).alias("n"))
     blocks = asked.groupBy("dim").agg(F.count(F.lit(1)).alias("m"))

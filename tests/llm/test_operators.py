@@ -138,6 +138,17 @@ def test_vantage_trees_with_factor_one_are_exact(spark):
     assert vantage_trees.nearest(df.limit(0), df, "vec_id", "embedding").count() == 0
 
 
+def test_repeated_rows_of_a_query_are_one_query(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(120, 5))
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows + [rows[20], rows[20]], "vec_id long, embedding array<double>")
+    got = vantage_trees.nearest(df, df.where("vec_id = 20"), "vec_id", "embedding", 20, 1.0).collect()
+    s = x @ x[20]
+    s[20] = -np.inf
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == np.argsort(-s)[:20].tolist()
+
+
 # 4 --------------------------------------------------------------------------------------------
 
 PIECES = ["<unk>", "▁", "a", "b", "ab", "▁a", "▁ab", "ba", "bab", "abab"]
@@ -349,6 +360,24 @@ def test_viterbi_equals_brute_force():
 
 # 9 --------------------------------------------------------------------------------------------
 
+def test_labels_beyond_a_hundred_and_twenty_eight_languages():
+    scores = np.full((6, 200), -9.0, np.float32)
+    scores[:3, 199], scores[3:, 130] = 9.0, 9.0
+    at = np.array([0, 3, 6])
+    assert span_language.viterbi(scores, at).tolist() == [199] * 3 + [130] * 3
+
+
+def test_sampled_rows_are_those_of_the_smallest_hashes(spark):
+    """A language of many rows is drawn by hash, and the model is that of the drawn rows alone."""
+    df = spark.createDataFrame([(i, "abc " * (i % 7 + 1), "aa") for i in range(3000)] + [
+        (9000 + i, "xyz", "bb") for i in range(5)], "doc_id long, text string, lang string")
+    model = span_language.learn(df, "doc_id", "text", "lang", sample=50)
+    low = df.where("lang = 'aa'").orderBy(span_language.draw("doc_id"), "doc_id").limit(50)
+    again = span_language.learn(low.unionByName(df.where("lang = 'bb'")), "doc_id", "text", "lang")
+    assert model.languages == again.languages == ["aa", "bb"]
+    assert np.array_equal(model.scores, again.scores) and np.array_equal(model.allowed, again.allowed)
+
+
 def test_patterns_place_every_rest_near_the_optimum():
     rng = random.Random(9)
     demand = {c: rng.randint(1, 200) for c in range(1, 65)}
@@ -403,14 +432,16 @@ def test_boilerplate_of_a_site_goes(spark):
 def test_site_lines_equal_the_sql_where_lines_are_dropped(spark, tmp_path):
     rows = [(i, f"https://H{i % 3}.org/{i}", f"<p>top {i % 3}</p><p> top {i % 3}</p><b>own {i}</b>"
              + "<i>foot</i>" * (i % 4 == 0)) for i in range(40)] + [
-        (100 + i, "http://small.org/x", "<p>kept</p>") for i in range(4)]
+        (100 + i, f"http://small{i}.org/x", "<p>kept</p>") for i in range(4)] + [
+        (200 + i, "http://two.org/x", f"<p>shared</p><p>own {i}</p>") for i in range(2)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     pages.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
     got = sorted(map(tuple, line_frequency.op10_site_lines(spark, str(tmp_path)).collect()))
     duck = duckdb.connect()
     duck.sql(f"create view pages as from '{tmp_path}/pages.parquet/*.parquet'")
     assert got == sorted(duck.sql(line_frequency.OP10_SQL).fetchall())
-    assert all(r[3] == 2 for r in got[:40]) and all(r[3] == 0 for r in got[40:])
+    assert all(r[3] == 2 for r in got[:40]) and all(r[3] == 0 for r in got[40:44])
+    assert [r[3] for r in got[44:]] == [1, 1]  # a host of two pages has boilerplate too
 
 
 # shared ---------------------------------------------------------------------------------------
