@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from linewatch.llm import (
     cutting_stock, line_frequency, multi_order_join, span_language, sparse_suffixes,
 )
-from linewatch.llm.common import staged, table
+from linewatch.llm.common import hinted, staged, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays if at least this share of it is in one language.
@@ -15,6 +15,8 @@ LEAST_SCORE = 0.5
 #: A line goes when more than this share of its source's documents hold it. A source is far larger
 #: than a host: the commonest line has 0.086 to 0.132 of one at sf0.1, any other 0.048 at most.
 SOURCE_RATIO = 0.08
+#: ... and at least so many of them.
+SOURCE_DOCUMENTS = 5
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -32,11 +34,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                        & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
 
+def _copies(docs: DataFrame, *by: str) -> DataFrame:
+    """(doc_id): documents whose text one of a smaller id has too, among those of equal `by`."""
+    digest = [F.xxhash64("text").alias("_t1"), F.xxhash64(F.lit("text"), "text").alias("_t2")]
+    narrow = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
+        "doc_id", *[F.xxhash64(F.coalesce(c, F.lit("\0"))).alias(f"_b{i}") for i, c in enumerate(by)],
+        *digest)
+    keys = narrow.columns[1:]
+    first = narrow.groupBy(*keys).agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last")
+                                      ).where("_first <> _last").drop("_last")
+    return hinted(staged(narrow.join(first, keys).where("doc_id <> _first").select(
+        "doc_id").distinct(), "copies"))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops boilerplate lines of each source; a document all of whose words go, goes."""
+    """Drops boilerplate lines of each source; a document all of whose words go, goes. Lines are
+    counted over different texts: copies of one text are one document of its source, so they
+    make none of its lines boilerplate."""
     lines = line_frequency.drop_boilerplate(
         docs.select(*COLUMNS), "doc_id", F.col("source"), F.split("text", "\n", -1),
-        max_ratio=SOURCE_RATIO)
+        max_ratio=SOURCE_RATIO, min_pages=SOURCE_DOCUMENTS,
+        counted=docs.select(*COLUMNS).join(_copies(docs, "source"), "doc_id", "left_anti"))
     kept = lines.withColumn("text", F.when(F.col("n_dropped") > 0, F.array_join("kept_lines", "\n"))
                             .otherwise(F.col("text")))
     return _measured(kept.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")))
@@ -44,14 +62,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest id of each group of documents linked by a similarity of 0.8 of their
-    sets of five-word shingles. Documents without words or without an id stay."""
+    sets of five-word shingles. Documents without words or without an id stay. Repeated rows are one
+    document; documents that share an id but not the text all stay, as do their links' others."""
     groups = multi_order_join.similarity_groups(docs, "doc_id", "text", 5, 80)
+    shared = hinted(staged(docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id"), "shared-ids"))
     gone = groups.where((F.col("n_shingles") > 0) & (F.col("component_id") != F.col("doc_id"))
                         ).select("doc_id").distinct()
-    # repeated rows have the same id and are one document
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    return kept.where(F.col("doc_id").isNull()).unionByName(
-        kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])).select(*COLUMNS)
+    rows = docs.select(*COLUMNS)
+    # few rows share an id, so few are compared as wholes
+    several = rows.join(shared, "doc_id", "left_semi").dropDuplicates()
+    clashing = several.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
+        "doc_id")
+    gone = gone.join(clashing, "doc_id", "left_anti")
+    return rows.join(shared, "doc_id", "left_anti").unionByName(several).join(
+        gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
