@@ -77,6 +77,24 @@ def test_line_dedup_drops_the_common_lines_of_a_source(spark):
     assert len(after) == len(want) and {r.doc_id: r.text for r in after} == want
 
 
+def test_copies_of_a_text_make_none_of_its_lines_boilerplate(documents, spark):
+    texts = ["copied line\nanother of it"] * 60 + [f"top\nown line {i}" for i in range(40)]
+    got = {r.doc_id: r.text for r in pipeline.line_dedup(spark, documents(*texts), "").collect()}
+    assert all(got[i] == texts[i] for i in range(60))
+    assert all(got[i] == f"own line {i - 60}" for i in range(60, 100))
+
+
+def test_documents_that_share_an_id_stay(spark):
+    words = [f"w{i}" for i in range(60)]
+    one, near = " ".join(words), " ".join([*words[:59], "other"])
+    rows = [(1, one), (2, near), (3, "quite another text of some seven words"), (3, one), (3, one),
+            (None, one), (4, "lonely words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id or 0, r.text) for r in pipeline.near_duplicates(spark, docs, "").collect())
+    assert got == sorted([(1, one), (3, one), (3, rows[2][1]), (0, one), (4, "lonely words")])
+
+
 def test_empty_documents(spark, tmp_path):
     table(spark, SMALL, "documents").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert pipeline.run(spark, str(tmp_path)).count() == 0
