@@ -28,8 +28,17 @@ def grouped_quantile(
     Only what is left of a key is ranked value by value. Ranks are counts, so
     the result is exact at any size.
     """
-    counts = df.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(
-        F.col(key), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    return counted_quantile(
+        df.withColumn("_times", F.lit(1)), key, value, "_times", quantile, name, intervals, rounds)
+
+
+def counted_quantile(
+    counted: DataFrame, key: str, value: str, times: str, quantile: float, name: str,
+    intervals: int = INTERVALS, rounds: int = ROUNDS,
+) -> DataFrame:
+    """The same for rows that stand for `times` equal ones; a key and value may occur again."""
+    counts = counted.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(
+        F.col(key), F.col(value).alias("_v")).agg(F.sum(times).alias("_n"))
     position = (F.col("_size") - 1) * F.lit(float(quantile))
     wanted = counts.groupBy(key).agg(
         F.sum("_n").alias("_size"), F.min("_v").alias("_low"), F.max("_v").alias("_high"),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from linewatch.functions.columns import share_pct, stable_round
 from linewatch.operators import rollup
 from linewatch.operators.combine import union_by_priority
-from linewatch.operators.quantile import grouped_quantile
+from linewatch.operators.quantile import counted_quantile, grouped_quantile
 from linewatch.operators.skew import join_per_key
 
 DEPARTURE_COLUMNS = [
@@ -96,6 +96,12 @@ def int_train_delays_daily(
     Both sides are aggregated before they meet, and both are then partitioned
     by the join keys already.
     """
+    return delays_with_counts(
+        departure_rollup, disruptions_per_station_day(stg_ns_disruptions, stg_rdt_disruptions))
+
+
+def delays_with_counts(departure_rollup: DataFrame, counts: DataFrame) -> DataFrame:
+    """int_train_delays_daily out of the rollup and the disruptions per station and day."""
     departures = rollup.total("departures")
     stats = departure_rollup.groupBy("station_code", "service_date").agg(
         departures.alias("total_departures"),
@@ -104,7 +110,6 @@ def int_train_delays_daily(
         share_pct(rollup.total("at_most_1"), departures, 2).alias("pct_on_time"),
         share_pct(rollup.total("over_15"), departures, 2).alias("severe_delay_share"),
     )
-    counts = disruptions_per_station_day(stg_ns_disruptions, stg_rdt_disruptions)
     return stats.join(counts, ["station_code", "service_date"], "left").withColumn(
         "disruption_count", F.coalesce("disruption_count", F.lit(0)).cast("bigint"))
 
@@ -116,6 +121,31 @@ def free_flow_speed(stg_ndw_traffic_flow: DataFrame) -> DataFrame:
         "free_flow_speed_kmh")
 
 
+def road_counts(stg_ndw_traffic_flow: DataFrame) -> DataFrame:
+    """Readings and vehicles per road point, day and speed: all that the road models need."""
+    return stg_ndw_traffic_flow.groupBy("location_id", "service_date", "avg_speed_kmh").agg(
+        F.count(F.lit(1)).alias("readings"), F.sum("vehicle_count").alias("vehicles"))
+
+
+def counted_free_flow_speed(counts: DataFrame) -> DataFrame:
+    """free_flow_speed out of counts of readings by road point and speed."""
+    return counted_quantile(counts, "location_id", "avg_speed_kmh", "readings",
+                            FREE_FLOW_QUANTILE, "free_flow_speed_kmh")
+
+
+def counted_traffic_daily(road_counts: DataFrame, free_flow: DataFrame) -> DataFrame:
+    """int_ndw_traffic_daily out of road_counts and the written free-flow speeds."""
+    speed, n = F.col("avg_speed_kmh"), F.col("readings")
+    slow = speed < F.col("free_flow_speed_kmh") * CONGESTED_BELOW
+    known = F.when(speed.isNotNull(), n)
+    return road_counts.join(free_flow, "location_id", "left").groupBy(
+        "location_id", "service_date").agg(
+        stable_round(F.try_divide(F.sum(speed * n), F.sum(known)), 2).alias("avg_speed_kmh"),
+        F.sum("vehicles").alias("total_vehicle_count"),
+        (F.coalesce(F.sum(F.when(slow, n)), F.lit(0)) * READING_MINUTES).alias("congestion_minutes"),
+    )
+
+
 def int_ndw_traffic_daily(
     stg_ndw_traffic_flow: DataFrame, free_flow: DataFrame | None = None,
 ) -> DataFrame:

@@ -48,6 +48,12 @@ class Refresh:
             reader = reader.schema(self._schemas[name])
         return reader.parquet(self.path(name))
 
+    def has(self, name: str) -> bool:
+        return name in self._schemas
+
+    def alert_path(self) -> str:
+        return self.path("alert_history")
+
     def lookup(self, name: str) -> DataFrame:
         return lookups.lookup(self.spark, name, self.lookup_folder)
 
@@ -138,7 +144,8 @@ class Refresh:
                    "dim_ndw_locations", "fct_train_performance", "fct_road_traffic",
                    "dm_multimodal_daily"]
         raw = {k: v for k, v in self.feeds.items() if v is not None}
-        return quality.quality_report({**raw, **staged, **{t: self.table(t) for t in written}})
+        return quality.quality_report({
+            **raw, **staged, **{t: self.table(t) for t in written if self.has(t)}})
 
     def freshness(self, now: str) -> DataFrame:
         feeds = [f for f in ("ns_departures", "ns_disruptions", "ndw_traffic_flow")
@@ -150,7 +157,7 @@ class Refresh:
         """Record the alerts of the day and return the ones that fired."""
         fired = alerts.reliability_alerts(self.table("dm_multimodal_daily"), self.as_of)
         alerts.append_alert_history(
-            self.spark, self.path("alert_history"), alerts.alert_records(fired, self.as_of))
+            self.spark, self.alert_path(), alerts.alert_records(fired, self.as_of))
         return fired
 
     def run(self, full_refresh: bool = False, now: str | None = None) -> dict[str, DataFrame]:

@@ -64,11 +64,17 @@ def stg_rdt_disruptions(rdt_disruptions: DataFrame, trim_codes: bool = False) ->
     )
 
 
-def stg_ns_departures(ns_departures: DataFrame) -> DataFrame:
-    """Live departures that are not cancelled, each in its latest poll.
+#: Order of the polls of a departure, latest first; the other columns only make it total.
+LATEST_POLL = ("_ingested_at", "actual_departure_ts", "planned_departure_ts", "train_number",
+               "station_code", "service_date", "operator_name", "train_name", "train_category",
+               "category_long_name", "departure_status", "planned_track", "actual_track",
+               "data_source", "direction")
+
+
+def live_departures(ns_departures: DataFrame) -> DataFrame:
+    """Departures of all polls that are not cancelled, with their key and the time of the poll.
 
-    The key is NULL when any part is, so all departures without a direction
-    collapse into one row.
+    The key is NULL when any part is.
     """
     product = {"train_number": "$.number", "operator_name": "$.operatorName",
                "category_long_name": "$.longCategoryName"}
@@ -88,22 +94,32 @@ def stg_ns_departures(ns_departures: DataFrame) -> DataFrame:
     for part in key_parts[1:]:
         joined_key = F.concat(joined_key, F.lit("_"), part)
     live = ns_departures.where(~F.coalesce(F.col("cancelled").cast("boolean"), F.lit(False)))
-    cleaned = live.select(
+    return live.select(
         *_typed(columns),
         *[F.get_json_object("product", path).alias(out) for out, path in product.items()],
         joined_key.alias("departure_id"),
         "_ingested_at",
     )
-    order = [F.col(c).desc_nulls_last() for c in
-             ("_ingested_at", "actual_departure_ts", "planned_departure_ts", "train_number",
-              "station_code", "service_date", "operator_name", "train_name", "train_category",
-              "category_long_name", "departure_status", "planned_track", "actual_track",
-              "data_source", "direction")]
-    latest = latest_per_key(cleaned, ["departure_id"], order)
+
+
+def latest_polls(live: DataFrame, keys: list[str]) -> DataFrame:
+    """The latest poll for each value of the keys."""
+    return latest_per_key(live, keys, [F.col(c).desc_nulls_last() for c in LATEST_POLL])
+
+
+def with_delay(latest: DataFrame) -> DataFrame:
     return latest.drop("_ingested_at").withColumn(
         "delay_minutes", whole_minutes_between("planned_departure_ts", "actual_departure_ts"))
 
 
+def stg_ns_departures(ns_departures: DataFrame) -> DataFrame:
+    """Live departures that are not cancelled, each in its latest poll.
+
+    All departures without a key, such as those without a direction, collapse into one row.
+    """
+    return with_delay(latest_polls(live_departures(ns_departures), ["departure_id"]))
+
+
 def _distinct_station_codes(sections_json: Column) -> Column:
     sections = F.from_json(sections_json, schemas.PUBLICATION_SECTIONS)
     codes = F.flatten(F.transform(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from linewatch.functions.columns import delay_category, stable_round
 from linewatch.operators import quality
-from linewatch.plans import alerts, core, corridor, intermediate, jobs, network, staging, system
+from linewatch.plans import alerts, change_jobs, core, corridor, intermediate, jobs, network, staging, system
 from linewatch.plans import weather_impact
 from linewatch.plans.models import Models
 
@@ -260,5 +260,5 @@ over_models("feed_freshness")(lambda m: quality.freshness(
 
 # Loads and maintenance: written to the shared scratch folder and read back ---------------------
 
-for _job in jobs.JOBS:
+for _job in [*jobs.JOBS, *change_jobs.JOBS]:
     REGISTRY[_job.__name__] = lambda spark, sf_dir, _job=_job: rendered(_job(spark, sf_dir))

@@ -47,6 +47,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_shared_root(spark).rstrip('/')}/linewatch/{label}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(hadoop).exists(target)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder through the file system it lies in."""
     jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

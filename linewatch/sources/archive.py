@@ -23,29 +23,53 @@ _SERVICE_BLANKABLE = {"arrival_time", "departure_time", "planned_platform", "act
 _DISRUPTION_BLANKABLE = {"start_time", "end_time"}
 
 
+#: The text of a row with another number of fields, in the scans that keep such rows.
+REJECTED = "_rejected_row"
+
+
 def _scan_positional(
     spark: SparkSession, paths: str | list[str], fields: list[str], multi_line: bool,
+    keep_rejected: bool = False,
 ) -> DataFrame:
-    """Text columns by position. Rows with too few or too many fields are dropped.
+    """Text columns by position. Rows with too few or too many fields are dropped, or kept with
+    their text (see quarantine.py, which counts and stores them).
 
     A gzip file is one task whatever its size, so the layout gives the
     parallelism: one file per month. Everything after the scan is a narrow
     projection, and the writers cap the rows per file, so the next job splits
     freely again.
     """
+    columns = fields + [REJECTED] * keep_rejected
     return (
-        spark.read.schema(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
-        .options(header=True, quote='"', escape='"', mode="DROPMALFORMED", multiLine=multi_line)
+        spark.read.schema(T.StructType([T.StructField(f, T.StringType()) for f in columns]))
+        .options(header=True, quote='"', escape='"', multiLine=multi_line,
+                 mode="PERMISSIVE" if keep_rejected else "DROPMALFORMED",
+                 columnNameOfCorruptRecord=REJECTED)
         .csv(paths)
     )
 
 
+def _kept(keep_rejected: bool) -> list[Column]:
+    return [F.col(REJECTED), F.col("_metadata.file_path").alias("_file")] if keep_rejected else []
+
+
 def _period(period: str | None) -> Column:
     if period is not None:
         return F.lit(period)
     return F.regexp_extract(F.col("_metadata.file_path"), _PERIOD_IN_PATH, 1)
 
 
+def _columns(
+    fields: list[str], booleans: set[str], numbers: set[str], blankable: set[str],
+    keep_rejected: bool,
+) -> list[Column]:
+    """The typed fields; NULL in a rejected row, whose fields are not where they belong."""
+    parsed = [_parsed(f, booleans, numbers, blankable) for f in fields]
+    if not keep_rejected:
+        return parsed
+    return [F.when(F.col(REJECTED).isNull(), c).alias(f) for c, f in zip(parsed, fields, strict=True)]
+
+
 def _parsed(name: str, booleans: set[str], numbers: set[str], blankable: set[str]) -> Column:
     if name in booleans:
         return strict_bool(name).alias(name)
@@ -62,19 +86,20 @@ def read_services(
     period: str | None = None,
     ingested_at: Column | None = None,
     multi_line: bool = True,
+    keep_rejected: bool = False,
 ) -> DataFrame:
     """Stop records. Without a period it is taken from each file's name, services-2026-03 or
     services-2026 with any ending, or from the name of its folder."""
-    raw = _scan_positional(spark, paths, schemas.ARCHIVE_SERVICE_FIELDS, multi_line)
-    columns = [
-        _parsed(f, _SERVICE_BOOLEANS, _SERVICE_NUMBERS, _SERVICE_BLANKABLE)
-        for f in schemas.ARCHIVE_SERVICE_FIELDS
-    ]
+    raw = _scan_positional(
+        spark, paths, schemas.ARCHIVE_SERVICE_FIELDS, multi_line, keep_rejected)
+    columns = _columns(schemas.ARCHIVE_SERVICE_FIELDS, _SERVICE_BOOLEANS, _SERVICE_NUMBERS,
+                       _SERVICE_BLANKABLE, keep_rejected)
     return raw.select(
         *columns,
         F.lit(ARCHIVE_SOURCE).alias("_source"),
         (F.current_timestamp() if ingested_at is None else ingested_at).alias("_ingested_at"),
         _period(period).alias("_year_month"),
+        *_kept(keep_rejected),
     )
 
 
@@ -84,19 +109,20 @@ def read_disruptions(
     year: str | None = None,
     ingested_at: Column | None = None,
     multi_line: bool = True,
+    keep_rejected: bool = False,
 ) -> DataFrame:
     """Archived disruptions. Without a year it is taken from the name of each file or its
     folder, disruptions-2025 with any ending."""
-    raw = _scan_positional(spark, paths, schemas.ARCHIVE_DISRUPTION_FIELDS, multi_line)
-    columns = [
-        _parsed(f, set(), {"duration_minutes"}, _DISRUPTION_BLANKABLE)
-        for f in schemas.ARCHIVE_DISRUPTION_FIELDS
-    ]
+    raw = _scan_positional(
+        spark, paths, schemas.ARCHIVE_DISRUPTION_FIELDS, multi_line, keep_rejected)
+    columns = _columns(schemas.ARCHIVE_DISRUPTION_FIELDS, set(), {"duration_minutes"},
+                       _DISRUPTION_BLANKABLE, keep_rejected)
     return raw.select(
         *columns,
         F.lit(ARCHIVE_SOURCE).alias("_source"),
         (F.current_timestamp() if ingested_at is None else ingested_at).alias("_ingested_at"),
         _period(year).alias("_year"),
+        *_kept(keep_rejected),
     )
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from linewatch.sources import archive, sinks
+from linewatch.sources import archive, evolving, sinks
 from linewatch.sources.weather import read_weather
 
 
@@ -52,14 +52,40 @@ def backfill_disruptions(
 
 def backfill_weather(
     spark: SparkSession, paths: str | list[str], target: str, first: str, last: str,
-    ingested_at: Column | None = None,
-) -> None:
-    """Load the days of a range, each day replaced as a whole."""
-    readings = read_weather(spark, paths, ingested_at)
+    ingested_at: Column | None = None, multi_line: bool = True,
+) -> DataFrame:
+    """Load the days of a range, each day replaced as a whole, and return the gaps.
+
+    A day of the range that the files have no reading for keeps what it has: the feed publishes
+    late, so nothing new is no reason to forget. See weather_gaps for the rows returned.
+    """
+    readings = read_weather(spark, paths, ingested_at, multi_line)
     sinks.overwrite_partitions(
         readings.where(F.col("service_date").between(first, last)), target, ["service_date"])
+    spark.catalog.refreshByPath(target)
+    return weather_gaps(spark.read.parquet(target), first, last)
+
+
+def weather_gaps(readings: DataFrame, first: str, last: str) -> DataFrame:
+    """station_code, gap_start, gap_end, days: runs of days of the range without a reading, for
+    each station that has any. Stations times days rows meet, readings are reduced to those first."""
+    day = F.col("service_date").cast("date")
+    present = readings.where(day.between(first, last)).select(
+        F.col("station_code").cast("string").alias("station_code"), day.alias("date_day")).distinct()
+    stations = readings.select(F.col("station_code").cast("string").alias("station_code")).where(
+        F.col("station_code").isNotNull()).distinct()
+    days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    missing = stations.select("station_code", F.explode(days).alias("date_day")).join(
+        present, ["station_code", "date_day"], "left_anti")
+    # days of one run have the same distance to their number
+    number = F.row_number().over(Window.partitionBy("station_code").orderBy("date_day"))
+    return missing.withColumn("_run", F.date_sub("date_day", number)).groupBy(
+        "station_code", "_run").agg(
+        F.min("date_day").alias("gap_start"), F.max("date_day").alias("gap_end"),
+        F.count(F.lit(1)).alias("days")).drop("_run")
 
 
 def load_departure_polls(polls: DataFrame, target: str) -> None:
-    """Add the departures of a poll; earlier polls of the day stay and are deduplicated later."""
-    sinks.append_partitions(polls, target, ["_service_date"])
+    """Add the departures of a poll; earlier polls of the day stay and are deduplicated later. A
+    poll may have fields that earlier ones had not; evolving.read_evolving reads them all."""
+    evolving.append_evolving(polls, target, ["_service_date"])

@@ -50,6 +50,8 @@ def scaled_readings(readings: DataFrame, ingested_at: Column | None = None) -> D
 
 def read_weather(
     spark: SparkSession, paths: str | list[str], ingested_at: Column | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    raw = spark.read.schema(schemas.WEATHER_FILE).json(paths, multiLine=True)
+    """Readings of files that hold a list of them, or one on each line with multi_line=False."""
+    raw = spark.read.schema(schemas.WEATHER_FILE).json(paths, multiLine=multi_line)
     return scaled_readings(raw, ingested_at)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from linewatch import registry as reg
 from linewatch.functions import columns as C
 from linewatch.operators import quality
-from linewatch.plans import network, weather_impact
+from linewatch.plans import change_jobs, network, weather_impact
 from oracle.build import assemble, day, rnd, stamp
 from oracle.models import CTES
 
@@ -501,7 +501,112 @@ add("services_backfill", f"""
     from raw_services where month(service_date) <> 2 or not platform_change
     group by 1, 2""")
 ORACLE["road_csv_load"] = ORACLE["stg_ndw_traffic_flow"]
-ORACLE["daily_refresh"] = ORACLE["dm_multimodal_daily"]
+ORACLE["daily_refresh"] = ORACLE["refresh_by_days"] = ORACLE["dm_multimodal_daily"]
+ORACLE["road_facts_by_days"] = ORACLE["fct_road_traffic"]
+_ORDER_ALERTS = """
+    select corridor_name, pct_on_time from (
+        select *, avg(pct_on_time) over (partition by corridor_id order by service_date
+            range between interval 7 days preceding and current row) as recent from mart)
+    where service_date = date '{day}' and pct_on_time < 80 and recent - pct_on_time > 10"""
+add("daily_order", f"""
+    select 'check' as step, "check" || ' ' || "table" || ' ' || "column" as item,
+        failures::double as figure from ({_quality_rows()})
+    union all
+    select 'freshness', feed || ' ' || if(age <= 36, 'pass', if(age <= 48, 'warn', 'error')),
+        {rnd('age', 6)} from (
+        select feed, date_sub('second', newest, timestamp '{change_jobs.ORDER_NOW}') / 3600.0::double
+            as age from (
+            select 'ns_departures' as feed, max(ts) as newest from raw_polls
+            union all
+            select 'ns_disruptions', max(service_date) + to_hours(10) from stg_live_disruptions))
+    union all
+    select 'alert', corridor_name, pct_on_time from ({_ORDER_ALERTS.format(day=change_jobs.ORDER_DAY)})
+    union all
+    select 'history', station_code || ' ' || corridor_id, 1 from lk_corridors""")
+ORACLE["free_flow_by_loads"] = ORACLE["free_flow_speed"]
+ORACLE["bucketed_train_facts"] = ORACLE["fct_train_performance"]
+ORACLE["bucketed_road_facts"] = ORACLE["fct_road_traffic"]
+add("archive_rejects", """
+    select 'accepted' as outcome, strftime(service_date, '%Y-%m') as item, count(*) as rows,
+        sum(max_delay)::bigint as figure from archive_lines where fields = 20 group by 2
+    union all
+    select 'rejected', if(fields = 21, 'too many fields', 'too few fields'), count(*),
+        sum(fields)::bigint from archive_lines where fields <> 20 group by 2
+    union all
+    select 'load', 'accepted and rejected', count(*) filter (fields = 20),
+        count(*) filter (fields <> 20) from archive_lines""", archive_lines="""
+    select *, if(p % 97 = 0, 21, if(p % 89 = 0, 18, 20)) as fields
+    from (select *, cast(split_part(stop_rdt_id, '-', 3) as bigint) as p from raw_services)""")
+add("evolving_polls", f"""
+    select {days('p.service_date')}, count(*) as polls,
+        count(*) filter (hour(ts) between 8 and 15) as with_crowding,
+        count(*) filter (hour(ts) < 16) as with_age,
+        sum(case when hour(ts) < 8 then minute(ts) * 60
+            when hour(ts) < 16 then minute(ts) * 60 + 5000000000 end)::bigint as age_seconds,
+        17::bigint as fields
+    from raw_polls p group by p.service_date""".replace("as service_date", "as _service_date"))
+add("weather_backfill", f"""
+    select 'readings' as item, station_code, {day('min(service_date)')} as first_day,
+        {day('max(service_date)')} as last_day, count(*) as n, {rnd('sum(avg_temp_c)', 6)} as figure
+    from weather_loaded group by station_code
+    union all
+    select 'gap', station_code, {day('min(service_date)')}, {day('max(service_date)')}, count(*), null
+    from weather_runs group by station_code, run""", weather_loaded="""
+    select knmi_station_code as station_code, service_date,
+        if(service_date < date '2026-02-10', avg_temp_c + 10, avg_temp_c) as avg_temp_c
+    from raw_weather
+    where service_date < date '2026-02-10' or knmi_station_code not in ('240', '344')
+        or service_date not between date '2026-03-01' and date '2026-03-04'""", weather_missing="""
+    select s.station_code, cast(g.d as date) as service_date
+    from (select distinct station_code from weather_loaded where station_code is not null) s,
+        generate_series(timestamp '2026-02-10', timestamp '2026-04-30', interval 1 day) g(d)
+    anti join weather_loaded l
+        on l.station_code = s.station_code and l.service_date = cast(g.d as date)""", weather_runs="""
+    select *, service_date - cast(row_number() over (
+        partition by station_code order by service_date) as integer) as run from weather_missing""")
+
+
+def _distinct_values() -> str:
+    kinds = {"station": ("station_code", "departures"), "operator": ("operator_name", "departures"),
+             "train": ("train_number", "departures"), "disruption": ("disruption_id", "disruption_days")}
+    return " union all ".join(
+        f"select '{name}' as range, '{kind}' as kind, count(distinct {column}) as distinct_count "
+        f"from {source} where service_date between date '{first}' and date '{last}' "
+        f"having count({column}) > 0"
+        for name, (first, last) in change_jobs.DISTINCT_RANGES.items()
+        for kind, (column, source) in kinds.items())
+
+
+add("distinct_values", _distinct_values(), disruption_days="""
+    select disruption_id, service_date from stg_live_disruptions
+    union all select disruption_id, service_date from stg_archive_disruptions""")
+_PHASES = ("before", "during", "after")
+add("disruption_road_impact", f"""
+    select * exclude (start_ts, end_ts), {stamp('start_ts')} as start_ts, {stamp('end_ts')} as end_ts,
+        {rnd('avg_speed_during - avg_speed_before', 2)} as speed_change_kmh
+    from impact_figures""", impact_disruptions="""
+    select disruption_id, codes, start_ts, end_ts from stg_archive_disruptions
+    union all
+    select disruption_id, codes, service_date + to_hours(7),
+        service_date + to_minutes(k % 600 + 480 + 2 - 60) from stg_live_disruptions""",
+    impact_windows="""
+    select distinct d.disruption_id, d.start_ts, greatest(d.end_ts, d.start_ts) as end_ts,
+        l.location_id
+    from (select disruption_id, start_ts, end_ts, unnest(codes) as station_code
+        from impact_disruptions) d
+    join d_roads l on l.nearest_station_code = d.station_code""", impact_met="""
+    select w.*, r.avg_speed_kmh, r.vehicle_count,
+        case when r.at < w.start_ts then 'before' when r.at < w.end_ts then 'during'
+            else 'after' end as phase
+    from impact_windows w join (
+        select *, service_date + to_minutes(quarter) as at from stg_roads) r
+    on r.location_id = w.location_id and r.at >= w.start_ts - to_hours(2)
+        and r.at < w.end_ts + to_hours(2)""", impact_figures="select disruption_id, start_ts, end_ts, "
+    + ", ".join(
+        f"{rnd(f"avg(avg_speed_kmh) filter (phase = '{p}')", 2)} as avg_speed_{p}, "
+        f"sum(vehicle_count) filter (phase = '{p}')::bigint as vehicles_{p}, "
+        f"count(*) filter (phase = '{p}') as readings_{p}" for p in _PHASES)
+    + " from impact_met group by disruption_id, start_ts, end_ts")
 add("csv_table_load", f"""
     select {days('r.service_date')}, count(*) as readings,
         if(r.service_date >= date '2026-04-01', 0, count(*)) as speeds,
@@ -510,6 +615,7 @@ add("csv_table_load", f"""
 add("poll_appends", f"""
     select departure_id, station_code, {days('service_date')}, train_number, delay_minutes
     from stg_live""")
+ORACLE["poll_stream_latest"] = ORACLE["poll_appends"]
 add("poll_stream", f"""
     select {day('p.service_date')} as _service_date, station_code as _station_code,
         count(*) as polled, count(*) filter (event_type = 'error') as cancelled,

@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from linewatch.registry import REGISTRY
+from oracle.reports import ORACLE
 from tests.conftest import SMALL
 from tools.compare import TABLES, rows_of
 
@@ -18,7 +20,9 @@ CHECKED = [
     "corridor_trend_weekly", "station_performance", "corridor_top_causes",
     "weather_condition_summary", "weather_seasonal_summary", "system_figures",
     "monthly_departures", "delay_attribution", "reliability_alerts_all_days", "quality_report",
-    "services_csv_reload", "incremental_upsert", "snapshot_history",
+    "services_csv_reload", "incremental_upsert", "snapshot_history", "refresh_by_days",
+    "daily_order", "free_flow_by_loads", "archive_rejects", "evolving_polls", "weather_backfill",
+    "bucketed_train_facts", "distinct_values", "poll_stream_latest", "disruption_road_impact",
 ]
 
 
@@ -31,7 +35,9 @@ def db():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLE)
+    assert set(REGISTRY) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
