@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from linewatch.operators.merge import same_key
-from linewatch.session import scratch_path
+from linewatch.session import remove_path, scratch_path
 from linewatch.sources import sinks
 
 VERSION_COLUMNS = ["version_id", "valid_from", "valid_to"]
@@ -71,7 +71,7 @@ def update_snapshot(
 
     The table is partitioned by the closing day: a run rewrites the open rows
     and the rows closed on that day in one commit, and leaves older history
-    alone. Running it twice for a day changes nothing.
+    alone. Running it twice for a day changes nothing. The staged copy goes after the commit.
     """
     def partitioned(df: DataFrame) -> DataFrame:
         return df.withColumn("closed_on", F.col("valid_to"))
@@ -87,3 +87,4 @@ def update_snapshot(
     next_versions(in_play.drop("closed_on"), current, keys, check, as_of).write.parquet(staged)
     sinks.overwrite_partitions(partitioned(spark.read.parquet(staged)), path, ["closed_on"])
     spark.catalog.refreshByPath(path)
+    remove_path(spark, staged)

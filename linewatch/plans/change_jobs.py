@@ -13,7 +13,7 @@ from linewatch.plans.models import Models
 from linewatch.schemas import ARCHIVE_SERVICE_FIELDS
 from linewatch.session import scratch_path
 from linewatch.sources import archive, backfill, buckets, evolving, quarantine, sinks, stand_in
-from linewatch.streaming import latest
+from linewatch.streaming import latest, rolling
 
 #: The first loads end before these days; later ones bring the rest.
 CUT = {"rdt_services": "2026-03-01", "ns_departures": "2026-04-01", "rdt_disruptions": "2020-01-01",
@@ -237,10 +237,9 @@ def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def poll_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Polls landed by day and quarter of it, taken in by the file stream in several batches, the
-    latest of each departure kept as state; then staged."""
-    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "latest")
+def _poll_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of the raw polls, landed by day and quarter of it and taken in some batches."""
+    landing = scratch_path(spark, "landing")
     departures = stand_in.ns_departures(spark, sf_dir)
     fields = ["direction", "name", "plannedDateTime", "actualDateTime", "trainCategory",
               "cancelled", "departureStatus", "plannedTrack", "actualTrack", "product"]
@@ -255,13 +254,32 @@ def poll_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = {f: "string" for f in [*fields, "_station_code", "_service_date", "_source"]}
     schema = ", ".join(f"{f} {t}" for f, t in {**kinds, "cancelled": "boolean",
                                                "_ingested_at": "timestamp"}.items())
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 60).json(landing)
-    found = latest.latest_of_stream(stream, "400 days")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 60).json(landing)
+
+
+def poll_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls taken in by the file stream in several batches, the latest of each departure kept as
+    state; then staged."""
+    target = scratch_path(spark, "latest")
+    found = latest.latest_of_stream(_poll_files(spark, sf_dir), "400 days")
     latest.upsert_latest(found, target, scratch_path(spark, "latest-checkpoint")).awaitTermination()
     return latest.latest_departures(spark, target).select(
         "departure_id", "station_code", "service_date", "train_number", "delay_minutes")
 
 
+def rolling_delay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delay per route in sliding quarters of an hour, out of the same stream."""
+    target = scratch_path(spark, "windows")
+    windows = rolling.rolling_delay(_poll_files(spark, sf_dir), "400 days")
+    rolling.upsert_windows(windows, target, scratch_path(spark, "windows-checkpoint")).awaitTermination()
+    return spark.read.parquet(target).withColumn("service_date", F.col("service_date").cast("date"))
+
+
+def cascading_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of three and more stops of a train at which its delay grows."""
+    return rolling.cascading_delays(Models.on_given_tables(spark, sf_dir).stg_rdt_services)
+
+
 def disruption_road_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speeds and vehicles near disrupted stations before, during and after each disruption."""
     m = Models.on_given_tables(spark, sf_dir)
@@ -273,5 +291,5 @@ def disruption_road_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
 JOBS = [
     refresh_by_days, road_facts_by_days, daily_order, free_flow_by_loads, archive_rejects,
     evolving_polls, weather_backfill, bucketed_train_facts, bucketed_road_facts, distinct_values,
-    poll_stream_latest, disruption_road_impact,
+    poll_stream_latest, disruption_road_impact, rolling_delay_stream, cascading_delays,
 ]

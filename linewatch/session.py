@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,9 +44,29 @@ def _shared_root(spark: SparkSession) -> str:
     return warehouse.rstrip("/") + "/_scratch"
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder the cluster names in spark.checkpoint.dir."""
-    return f"{_shared_root(spark).rstrip('/')}/linewatch/{label}-{uuid.uuid4().hex}"
+    path = f"{_shared_root(spark).rstrip('/')}/linewatch/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders taken inside go at the end, also after an error.
+
+    Results of queries read them, so what is wanted of a result is written or collected inside.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove_path(spark, path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -580,6 +580,31 @@ def _distinct_values() -> str:
 add("distinct_values", _distinct_values(), disruption_days="""
     select disruption_id, service_date from stg_live_disruptions
     union all select disruption_id, service_date from stg_archive_disruptions""")
+add("rolling_delay_stream", f"""
+    select {stamp('window_start')} as window_start, {day('window_start')} as service_date,
+        station_code, direction, count(*) as polls,
+        {rnd('avg(delay)', 2)} as avg_delay_min, max(delay) as max_delay_min
+    from (
+        select *, time_bucket(interval 5 minutes, planned_ts) - to_minutes(5 * n) as window_start,
+            date_sub('minute', planned_ts, actual_ts) as delay
+        from live_polls, range(3) g(n))
+    group by window_start, station_code, direction""")
+add("cascading_delays", f"""
+    select service_rdt_id, {days('service_date')}, max(train_number) as train_number,
+        arg_min(station_code, stop_order) as first_station,
+        arg_max(station_code, stop_order) as last_station, count(*) as stations,
+        min(delay) as first_delay, max(delay) as last_delay
+    from cascade_islands group by service_rdt_id, service_date, island having count(*) >= 3""",
+    cascade_stops="""
+    select *, row_number() over (partition by service_rdt_id, service_date
+            order by coalesce(departure_ts, arrival_ts), stop_rdt_id) as stop_order,
+        coalesce(departure_delay, arrival_delay) as delay
+    from stg_services where coalesce(departure_ts, arrival_ts) is not null""", cascade_islands="""
+    select *, sum(fresh::int) over (partition by service_rdt_id, service_date order by stop_order)
+        as island
+    from (select *, not coalesce(delay > lag(delay) over (
+            partition by service_rdt_id, service_date order by stop_order), false) as fresh
+        from cascade_stops)""")
 _PHASES = ("before", "during", "after")
 add("disruption_road_impact", f"""
     select * exclude (start_ts, end_ts), {stamp('start_ts')} as start_ts, {stamp('end_ts')} as end_ts,
