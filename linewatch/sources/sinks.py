@@ -87,9 +87,11 @@ def write_table(
 
 
 def with_existing_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns and types of an existing table; new fields are left out, missing ones are NULL."""
+    """Columns and types of an existing table; new fields are left out, missing ones are NULL. Names
+    are found without regard to case, as Spark does."""
+    held = {c.lower() for c in df.columns}
     return df.select(*[
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        (F.col(f"`{f.name}`") if f.name.lower() in held else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema
     ])
 

@@ -24,7 +24,7 @@ def latest_of_stream(polls: DataFrame, keep: str = KEEP) -> DataFrame:
     of the batch staging, NULLs last.
     """
     live = staging.live_departures(polls).where(F.col("service_date").isNotNull())
-    order = [c for c in staging.LATEST_POLL if c != "service_date"]
+    order = [*[c for c in staging.LATEST_POLL if c != "service_date"], "is_cancelled"]
     return (
         live.withColumn("_day", F.col("service_date").cast("timestamp")).withWatermark("_day", keep)
         .groupBy("_day", "departure_id")
