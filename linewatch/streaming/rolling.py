@@ -62,6 +62,9 @@ def upsert_windows(windows: DataFrame, target: str, checkpoint: str) -> Streamin
 
 # Cascades -------------------------------------------------------------------------------------
 
+_ORDER = ["at", "departure_id", "delay", "station_code"]
+
+
 def _stops(stg_rdt_services: DataFrame) -> DataFrame:
     """The stops of known train runs with their time and delay."""
     return stg_rdt_services.where(
@@ -76,17 +79,18 @@ def cascading_delays(stg_rdt_services: DataFrame, least: int = CASCADE) -> DataF
     """Runs of at least `least` consecutive stops of a train on a day, each with more delay than the
     one before.
 
-    Stops are in the order of their time, then of their id. A stop whose delay is not known
+    Stops are in the order of their time, then of their id; ids repeat, so delay and station
+    follow, NULLs first. A stop whose delay is not known
     ends a run and begins none. Runs are islands: a stop that does not rise begins a new one. A train
     has some dozens of stops a day; a window streams over them and holds none.
     """
     run = ["service_rdt_id", "service_date"]
-    order = Window.partitionBy(*run).orderBy("at", "departure_id")
+    order = Window.partitionBy(*run).orderBy(*_ORDER)
     rising = F.coalesce(F.col("delay") > F.lag("delay").over(order), F.lit(False))
     islands = _stops(stg_rdt_services).withColumn("_rises", rising).withColumn(
         "_island", F.sum((~F.col("_rises")).cast("int")).over(
             order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    place = F.struct("at", "departure_id")
+    place = F.struct(*_ORDER)
     return islands.groupBy(*run, "_island").agg(
         F.max("train_number").alias("train_number"),
         F.min_by("station_code", place).alias("first_station"),
@@ -99,7 +103,10 @@ def cascading_delays(stg_rdt_services: DataFrame, least: int = CASCADE) -> DataF
 def _runs(key: tuple, stops: list[list], least: int) -> list[tuple]:
     """The cascades among the stops (at, id, station, delay, train) of one train."""
     found, island = [], []
-    for stop in [*sorted(stops, key=lambda s: (s[0], s[1] is not None, s[1] or "")), None]:
+    def order(s: list) -> tuple:
+        return s[0], s[1] is not None, s[1] or "", s[3] is not None, s[3] or 0, s[2] or ""
+
+    for stop in [*sorted(stops, key=order), None]:
         rises = stop is not None and island and None not in (stop[3], island[-1][3]) \
             and stop[3] > island[-1][3]
         if not rises:

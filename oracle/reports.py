@@ -597,7 +597,8 @@ add("cascading_delays", f"""
     from cascade_islands group by service_rdt_id, service_date, island having count(*) >= 3""",
     cascade_stops="""
     select *, row_number() over (partition by service_rdt_id, service_date
-            order by coalesce(departure_ts, arrival_ts), stop_rdt_id) as stop_order,
+            order by coalesce(departure_ts, arrival_ts), stop_rdt_id,
+                coalesce(departure_delay, arrival_delay) nulls first, station_code) as stop_order,
         coalesce(departure_delay, arrival_delay) as delay
     from stg_services where coalesce(departure_ts, arrival_ts) is not null""", cascade_islands="""
     select *, sum(fresh::int) over (partition by service_rdt_id, service_date order by stop_order)
