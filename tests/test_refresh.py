@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 
 from linewatch.plans.models import FEEDS, Models
@@ -44,3 +46,19 @@ def test_refresh_without_optional_feeds(spark, feeds, tmp_path):
     mart = refresh.table("dm_multimodal_daily")
     assert mart.count() > 0
     assert mart.where("avg_road_speed_kmh is not null or avg_temp_c is not null").count() == 0
+
+
+def test_history_of_a_quiet_day_is_empty(spark, tmp_path):
+    run = Refresh(spark, {}, str(tmp_path / "core"), "2026-03-26")
+    days = [dt.date(2026, 3, d) for d in range(19, 27)]
+
+    def mart(last: float):
+        run._write("dm_multimodal_daily", spark.createDataFrame(
+            [(1, "A-R", d, 90.0 if d.day < 26 else last) for d in days],
+            "corridor_id bigint, corridor_name string, service_date date, pct_on_time double"))
+
+    mart(90.0)
+    assert run.raise_alerts().isEmpty() and run.recorded_alerts().collect() == []
+    mart(62.0)
+    run.raise_alerts()
+    assert [(r.corridor, r.metric_value) for r in run.recorded_alerts().collect()] == [("A-R", 62.0)]
