@@ -28,6 +28,24 @@ def test_partition_overwrite_is_idempotent_and_scoped(spark, tmp_path, rows):
     assert rows(spark.read.parquet(path), "n") == [(1,), (3,), (4,)]
 
 
+def test_periods_are_replaced_without_a_shuffle(spark, tmp_path, rows):
+    path, setting = str(tmp_path / "t"), "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    # more months in a task than folders are held open, and rows without a month
+    months = F.when(F.col("id") % 41 > 0, F.concat(F.lit("m"), F.col("id") % 41))
+    for factor in (2, 3):
+        sinks.overwrite_periods(spark.range(0, 820, 1, 2).select(
+            (F.col("id") * factor).alias("n"), months.alias("month")), path, ["month"])
+    later = spark.createDataFrame([(1, "m1"), (2, "m1"), (3, "new")], "n long, month string")
+    sinks.overwrite_periods(later.repartition(2), path, ["month"])
+    kept = [(3 * i, f"m{i % 41}" if i % 41 else None) for i in range(820) if i % 41 != 1]
+    want = sorted([*kept, (1, "m1"), (2, "m1"), (3, "new")], key=lambda r: tuple(map(str, r)))
+    assert rows(spark.read.parquet(path), "n", "month") == want
+    assert spark.conf.get(setting) == before
+    # each of the two tasks wrote its own file
+    assert len(glob.glob(f"{path}/month=m2/*.parquet")) == 2
+
+
 def test_polls_append(spark, tmp_path):
     path = str(tmp_path / "t")
     poll = spark.createDataFrame([("a", "2026-03-01")], "id string, _service_date string")
