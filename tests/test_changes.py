@@ -330,6 +330,18 @@ def test_bitmaps_count_like_count_distinct(spark, tmp_path):
     assert kept.between("2026-03-05", "2026-03-05").collect() == []
 
 
+def test_new_values_of_a_day_are_neighbours(spark, tmp_path):
+    """40 days with 5,000 new values each: a day has its values in two bitmaps at most."""
+    kept = bitmaps.DistinctDays(spark, str(tmp_path / "d"))
+    day = F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 40).cast("int"))
+    values = spark.range(200_000).select(
+        day.alias("service_date"), F.lit("x").alias("kind"), F.col("id").cast("string").alias("value"))
+    kept.replace(values, {r[0] for r in values.select(
+        F.col("service_date").cast("string")).distinct().collect()})
+    assert kept.table().groupBy("service_date").count().agg(F.max("count")).first()[0] <= 2
+    assert [tuple(r) for r in kept.between("2026-01-03", "2026-01-05").collect()] == [("x", 15_000)]
+
+
 # buckets --------------------------------------------------------------------------------------
 
 def exchanges_below_joins(df):
