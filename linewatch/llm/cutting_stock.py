@@ -115,7 +115,7 @@ def pieces(docs: DataFrame, key: str, text: str, vocabulary: bytes, separator: s
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.Encoder(vocabulary, "word", separator)
+        encoder = tokens.encoder(vocabulary, "word", separator)
         for batch in batches:
             for row, texts in tokens.batches_of(batch.column(1).to_pylist()):
                 ids, at = encoder.encode(texts, end)

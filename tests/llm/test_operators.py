@@ -460,3 +460,19 @@ def test_components_and_numbers(spark):
     rows = common.numbered(spark.range(100).withColumn("k", F.col("id") % 3), ["k"], [F.col("id")],
                            "n", F.xxhash64("id"), 7).collect()
     assert all(sorted(r.n for r in rows if r.k == k) == list(range(n)) for k, n in ((0, 34), (1, 33), (2, 33)))
+
+
+def test_encoder_of_a_worker_is_kept_and_starts_anew_after_an_error():
+    data, separator = cutting_stock.word_vocabulary()
+    encoder = tokens.encoder(data, "word", separator)
+    assert tokens.encoder(bytes(bytearray(data)), "word", separator) is encoder
+    texts = ["a  b\nc", "tab\tand\u00a0more", "<|endoftext|> x", "", "\u200bzero \U0001f600 ok", "a c"]
+    plain = [encoder.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    for _ in range(2):
+        ids, at = encoder.encode(texts, 2)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == plain
+    with pytest.raises(TypeError):
+        encoder.encode(["new words", 7], 2)
+    assert not encoder.number and len(encoder.ids) == 0
+    ids, at = encoder.encode(texts, 2)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == plain
