@@ -476,3 +476,17 @@ def test_encoder_of_a_worker_is_kept_and_starts_anew_after_an_error():
     assert not encoder.number and len(encoder.ids) == 0
     ids, at = encoder.encode(texts, 2)
     assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == plain
+
+
+def test_words_of_equal_parts_are_encoded_once(monkeypatch):
+    data, separator = cutting_stock.word_vocabulary()
+    encoder, sent = tokens.Encoder(data, "word", separator), []
+    encoded = encoder._encoded
+    monkeypatch.setattr(encoder, "_encoded", lambda words, between: sent.extend(words) or encoded(
+        words, between))
+    texts = ["Été, été. (ÉTÉ) don't I'LL ***", "été; a1b2 -- ...été!? ß÷x \"É\"", "", " \n", "'s 's, _a_ Σας"]
+    for _ in range(2):
+        ids, at = encoder.encode(texts, 2)
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [
+            encoder.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert sent.count("été") == 1 and not any("É" in w for w in sent) and len(sent) == len(set(sent))
