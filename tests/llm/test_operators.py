@@ -490,3 +490,11 @@ def test_words_of_equal_parts_are_encoded_once(monkeypatch):
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [
             encoder.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
     assert sent.count("été") == 1 and not any("É" in w for w in sent) and len(sent) == len(set(sent))
+
+
+def test_frequent_shingles_are_known_by_half_their_bits(spark):
+    h = np.array([3 << 32 | 5, 7 << 32 | 9, 1 << 63 | 1, 11], np.uint64)
+    known, counts = np.array([7, 1 << 31], np.uint32), np.array([40, 90])
+    for order in range(3):
+        key = multi_order_join.order_key(h, order, known, counts)
+        assert np.argsort(key)[2:].tolist() == [1, 2] and len(set(key.tolist())) == 4
