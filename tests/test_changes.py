@@ -182,6 +182,43 @@ def test_replaced_days_and_days_that_differ(spark, rows, tmp_path):
     assert changes.stored_days(spark, path, "service_date") == set()
 
 
+def test_a_load_is_written_once_and_its_files_are_moved(spark, feeds, tmp_path, monkeypatch):
+    written, write = [], sinks._partitioned_write
+
+    def noted(df, path, *rest, **more):
+        written.append(path)
+        return write(df, path, *rest, **more)
+
+    monkeypatch.setattr(sinks, "_partitioned_write", noted)
+    run = DayRefresh(spark, str(tmp_path / "core"), "2026-04-12")
+    stops = feeds["rdt_services"]
+    run.load("rdt_services", stops)
+    run.load("rdt_services", stops, replace=False)
+    disruptions = feeds["rdt_disruptions"]
+    run.load("rdt_disruptions", disruptions)
+    assert len(written) == 3 and all("_staged-" in p for p in written)
+    assert run.raw("rdt_services").count() == 2 * stops.count()
+    assert content(run.raw("rdt_disruptions")) == content(disruptions)
+    assert not [p for p in (tmp_path / "core" / "raw").iterdir() if p.name.startswith("_")]
+
+
+def test_days_that_share_a_folder_with_replaced_ones_stay(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    day = dt.date(2026, 3, 1)
+    df = spark.createDataFrame(
+        [(day, 1), (dt.date(2026, 3, 2), 2), (dt.date(2027, 1, 1), 3), (None, 4)], "service_date date, n int")
+    days = {"2026-03-01", "2026-03-02", "2027-01-01", None}
+    changes.replace_days(df, path, days, grain="yyyy")
+    new = spark.createDataFrame([(day, 7), (day, 7)], "service_date date, n int")
+    for _ in range(2):
+        changes.replace_days(new, path, {"2026-03-01", "2027-01-01"}, grain="yyyy")
+    assert rows(spark.read.parquet(path), "service_date", "n") == sorted(
+        [(None, 4), (day, 7), (day, 7), (dt.date(2026, 3, 2), 2)], key=lambda r: tuple(map(str, r)))
+    changes.replace_days(df.limit(0), path, {None, "2026-03-02"}, grain="yyyy")
+    assert rows(spark.read.parquet(path), "service_date", "n") == [(day, 7), (day, 7)]
+    assert changes.stored_days(spark, path, "period") == {"2026"}
+
+
 def test_counted_quantile_equals_the_one_over_rows(spark, rows):
     values = [(k, float(v)) for k in ("a", "b") for v in (3, 1, 4, 1, 5, 9, 2, 6)] + [
         ("c", None), (None, 1.0), ("d", 2.0)]
