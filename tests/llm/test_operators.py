@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -189,6 +190,19 @@ def test_pieces_of_edge_cases(documents, edges):
 
 # 5 --------------------------------------------------------------------------------------------
 
+def test_range_coder_takes_room_as_it_writes():
+    rng = np.random.default_rng(5)
+    few = [rng.integers(0, 300, 4096).astype(np.uint32) for _ in range(63)]
+    blocks = [*few, rng.integers(0, 1 << 16, 4096).astype(np.uint32)]  # the last one takes most room
+    tracemalloc.start()
+    payloads = range_coder.compress(blocks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(payloads[-1]) > 4096 * 2 and peak < 10e6
+    for block, back in zip(blocks, range_coder.decompress(payloads, [4096] * 64), strict=True):
+        assert (block == back).all()
+
+
 def test_range_coder_round_trip():
     rng = np.random.default_rng(5)
     blocks = [rng.zipf(1.3, 700) % 50257, np.zeros(100, int), rng.integers(0, 65536, 333),
