@@ -307,3 +307,15 @@ def test_development_scope_of_the_models(spark):
         first = getattr(recent, model).agg(F.min("service_date")).first()[0]
         assert first >= D(2026, 4, 10), model
     assert recent.stg_rdt_services.count() == whole.stg_rdt_services.count()
+
+
+def test_disruptions_of_days_without_departures_are_not_counted(spark):
+    named = spark.sql("""select * from values
+        ('a', date'2026-03-01', array('UT', 'ASD')), ('b', date'2026-03-01', array('UT')),
+        ('a', date'2011-03-01', array('UT')), ('c', cast(null as date), array('UT'))
+        t(disruption_id, service_date, affected_station_codes)""")
+    days = spark.sql("select * from values (date'2026-03-01'), (date'2026-03-01'), (null) t(service_date)")
+    counts = intermediate.disruptions_per_station_day(named, named, days=days)
+    assert sorted((r.station_code, str(r.service_date), r.disruption_count)
+                  for r in counts.collect()) == [("ASD", "2026-03-01", 1), ("UT", "2026-03-01", 2)]
+    assert intermediate.disruptions_per_station_day(named, named).count() == 4
