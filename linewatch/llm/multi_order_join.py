@@ -16,18 +16,17 @@ more links than it takes to connect what is similar.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from linewatch.llm import words as W
-from linewatch.llm.common import components, hinted, prepare, staged, table
+from linewatch.llm.common import components, discard, hinted, prepare, staged, table
 
 #: So many of the shingles that are in most prefixes at first, by their upper 32 bits, go to all
-#: tasks with their counts, 1.5 MB. This bounds what the order knows; any order gives the same result.
-KNOWN_SHINGLES = 1 << 17
+#: tasks with their counts, 4 MB. This bounds what the order knows; any order gives the same result.
+KNOWN_SHINGLES = 1 << 19
 #: A prefix shingle in more classes than this gives a chain of candidates instead of all pairs.
 CROWD = 24
 #: Shingles of the sets of one block.
@@ -101,7 +100,7 @@ def _lists(at: np.ndarray, values: pa.Array) -> pa.Array:
 def _prefixes(docs: DataFrame, size: int, percent: int, orders: int,
               known: np.ndarray, counts: np.ndarray) -> DataFrame:
     """(id, n, digest, prefix under each order) with p0 as shingles, the others, longer
-    by shared_length - 1, as 32 bits each. No order, no prefix."""
+    by shared_length - 1, as 16 bits each. No order, no prefix."""
 
     def length(k: int, n: np.ndarray) -> np.ndarray:
         p = prefix_length(n, percent)
@@ -125,7 +124,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, orders: int,
                     found[k].append(h[by][place < length(k, np.diff(at))[of]])
             ends = [np.concatenate([[0], np.cumsum(length(k, total))]) for k in range(orders)]
             columns = [_lists(ends[k], _signed(np.concatenate(f)) if k == 0 else pa.array(
-                (np.concatenate(f) >> np.uint64(32)).astype(np.uint32).view(np.int32)))
+                (np.concatenate(f) >> np.uint64(48)).astype(np.uint16).view(np.int16)))
                 for k, f in enumerate(found)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(total), _signed(d1), _signed(d2), *columns],
@@ -134,7 +133,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, orders: int,
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "text").mapInArrow(
         run, f"id {kind}, n long, d1 long, d2 long" + "".join(
-            f", p{k} array<{'int' if k else 'long'}>" for k in range(orders)))
+            f", p{k} array<{'smallint' if k else 'long'}>" for k in range(orders)))
 
 
 def block_links(ids: list, sets: list[np.ndarray], percent: int) -> list[tuple]:
@@ -219,7 +218,7 @@ def similar_classes(
         F.desc("n"), "token").limit(KNOWN_SHINGLES).toPandas()
     known = frequent["token"].to_numpy(np.int32).view(np.uint32)
     by = np.argsort(known)
-    known, counts = known[by], frequent["n"].to_numpy(np.int64)[by]
+    known, counts = known[by], frequent["n"].to_numpy(np.int64)[by].clip(max=(1 << 31) - 1).astype(np.int32)
 
     digest = ["d1", "d2", "n"]
     prefixes = _prefixes(source, size, percent, orders, known, counts)
@@ -227,29 +226,33 @@ def similar_classes(
     classes = staged(
         prefixes.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy(*digest).agg(
             F.min("id").alias("class"), *[F.first(p).alias(p) for p in names]), "classes")
-    members = described.select("id", *digest).join(
+    members = staged(described.select("id", *digest).join(
         classes.select(*digest, "class"), digest, "left").select(
-        "id", "n", F.when(F.col("id").isNotNull(), F.col("class")).alias("class"))
+        "id", "n", F.when(F.col("id").isNotNull(), F.col("class")).alias("class")), "rows")
+    discard(described)
 
     posted = classes.select(F.explode("p0").alias("token"), F.col("class").alias("id"), "n")
-    shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    shared = staged(posted.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where(
+        "many > 1"), "shared")
     posted = staged(posted.join(shared, "token"), "postings")
+    discard(shared)
     few = posted.where(F.col("many") <= CROWD)
-    pairs = _halves(few, "a", "na").join(_halves(few, "b", "nb"), "token").where(
+    pairs = staged(_halves(few, "a", "na").join(_halves(few, "b", "nb"), "token").where(
         (F.col("a") < F.col("b")) & (F.col("na") * percent <= F.col("nb") * 100)
         & (F.col("nb") * percent <= F.col("na") * 100)).select(
-        "a", "b", F.least("na", "nb").alias("n")).distinct()
-    if orders > 1:
-        sides = [classes.select(F.col("class").alias(id_), *[
-            F.col(f"p{k}").alias(f"{name}{k}") for k in range(1, orders)])
-            for id_, name in (("a", "x"), ("b", "y"))]
-        # half of what similar sets share leaves room for shingles with equal 32 bits
-        n = F.col("n")
-        least = F.greatest(F.lit(1), F.floor(shared_length(
-            n - F.floor((n * percent + 99) / 100) + 1) / 2))
-        test = reduce(lambda x, y: x & y, [
-            F.size(F.array_intersect(f"x{k}", f"y{k}")) >= least for k in range(1, orders)])
-        pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(test)
+        "a", "b", F.least("na", "nb").alias("n")).distinct(), "pairs")
+    # half of what similar sets share leaves room for shingles with equal 16 bits; so many shingles
+    # have more than half of their number, or of 2^15, of different ones
+    n = F.col("n")
+    least = F.greatest(F.lit(1), F.least(F.lit(1 << 14), F.floor(shared_length(
+        n - F.floor((n * percent + 99) / 100) + 1) / 2)))
+    # one order after the other, as a prefix travels with every pair of its set
+    for k in range(1, orders):
+        sides = [classes.select(F.col("class").alias(id_), F.col(f"p{k}").alias(name))
+                 for id_, name in (("a", "x"), ("b", "y"))]
+        last, pairs = pairs, staged(pairs.join(sides[0], "a").join(sides[1], "b").where(
+            F.size(F.array_intersect("x", "y")) >= least).select("a", "b", "n"), "pairs")
+        discard(last)
     pairs = pairs.select("a", "b")
     # in the order of sizes, whatever lies between two similar sets is of a similar size too
     by_size = Window.partitionBy("token").orderBy("n", "id")
@@ -258,8 +261,11 @@ def similar_classes(
         F.col("id").alias("b"), F.col("n").alias("nb")).where(
         F.col("na") * 100 >= F.col("nb") * percent).select("a", "b").distinct()
     found = staged(components(pairs.unionByName(chains)), "candidates")
+    discard(posted)
     wanted = found.join(classes.select(F.col("class").alias("id"), "n"), "id")
-    return members, staged(_verified(source, wanted, size, percent), "links")
+    compared = _verified(source, wanted, size, percent)
+    discard(classes)
+    return members, staged(compared, "links")
 
 
 def similarity_groups(

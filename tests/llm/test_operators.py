@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
 import time
@@ -308,6 +309,34 @@ def test_similar_groups_of_nothing_and_null_ids(documents):
         ["Row(doc_id=None, n_shingles=2, component_id=None)"])
 
 
+def test_prefixes_travel_one_order_at_a_time_and_what_was_read_goes(documents, monkeypatch):
+    """Before, each pair carried the prefixes of all orders, four bytes a shingle, and shuffle
+    files and scratch of all steps stayed."""
+    written = []
+
+    def noted(df, label):
+        out = staged(df, label)
+        written.append((label, out))
+        return out
+
+    def kept(df):
+        return os.path.exists(df._scratch.removeprefix("file:"))
+
+    staged = common.staged
+    monkeypatch.setattr(multi_order_join, "staged", noted)
+    texts = texts_of(random.Random(6), 60)
+    base = texts[20].split(" ")
+    texts += [" ".join(base[:k] + ["edit"] + base[k + 1:]) for k in range(0, len(base), 3)]
+    got = multi_order_join.similarity_groups(documents(*texts), "doc_id", "text", 3, 80)
+    kinds = {f.name: f.dataType.simpleString() for f in dict(written)["classes"].schema}
+    assert kinds["p1"] == kinds["p2"] == "array<smallint>"
+    pairs = [df for label, df in written if label == "pairs"]
+    assert len(pairs) == 3 and all(df.columns == ["a", "b", "n"] for df in pairs)
+    assert {label for label, df in written if not kept(df)} >= {"classes", "postings", "shared", "shingles"}
+    assert [kept(df) for df in pairs] == [False, False, True]
+    assert sorted(map(tuple, got.collect())) == linked(texts, 3, 80)
+
+
 # 7 --------------------------------------------------------------------------------------------
 
 def passages(texts, size):
