@@ -82,7 +82,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of 50 words and more that a document of a smaller id has too. A document
     of which nothing is left goes."""
-    spans = sparse_suffixes.repeated_passages(docs, "doc_id", "text").where(~F.col("first"))
+    spans = staged(sparse_suffixes.repeated_passages(docs, "doc_id", "text").where(
+        ~F.col("first")), "spans")
     return _measured(sparse_suffixes.without_spans(docs.select(*COLUMNS), "doc_id", "text", spans))
 
 

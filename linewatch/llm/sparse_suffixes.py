@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from linewatch.llm import words as W
-from linewatch.llm.common import prepare, staged, table
+from linewatch.llm.common import discard, prepare, staged, table
 
 #: Words of a passage; shorter ones are left alone.
 PASSAGE = 50
@@ -144,12 +144,13 @@ def repeated_passages(
     met = each.groupBy(F.col("x.seeds").alias("seed")).agg(
         F.min("id").alias("low"), F.max("last").alias("high")).where("low <> high").select("seed")
     # a text that has copies shares all its suffixes
-    close = each.join(met, F.col("x.seeds") == F.col("seed"), "left_semi").groupBy(
-        "id", "last", *_GROUP).agg(F.collect_list("x").alias("suffixes"))
+    close = staged(each.join(met, F.col("x.seeds") == F.col("seed"), "left_semi").groupBy(
+        "id", "last", *_GROUP).agg(F.collect_list("x").alias("suffixes")), "close")
     around = staged(_extended(source.join(close, ["id", *_GROUP]), size), "windows")
-    known = around.groupBy("passage", "seed").agg(
+    discard(close)
+    known = staged(around.groupBy("passage", "seed").agg(
         F.min("id").alias("low"), F.max("last").alias("high")).where("low <> high").select(
-        "passage", "seed", "low")
+        "passage", "seed", "low"), "known")
     runs = around.join(known, ["passage", "seed"]).select(
         "id", "at", (F.col("id") == F.col("low")).alias("first"))
     spans = _union(runs, ["id", "first"], size)

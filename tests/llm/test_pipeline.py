@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from linewatch.llm import cutting_stock, tokens
@@ -98,3 +100,35 @@ def test_documents_that_share_an_id_stay(spark):
 def test_empty_documents(spark, tmp_path):
     table(spark, SMALL, "documents").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_shuffle_files_go_with_the_write_and_passages_are_cut_after_their_windows(spark, monkeypatch):
+    """Before, shuffle files waited for the driver's garbage, and windows of passages and the texts
+    they are cut from were on disk together."""
+    sc = spark.sparkContext
+    disk = sc._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        names = disk.getAllBlocks().mkString(" ").split()
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    before = files()
+    rows = staged(spark.range(5000).groupBy((F.col("id") % 7).alias("k")).count(), "x")
+    assert rows.count() == 7
+    ended = time.time() + 20
+    while (new := {n for n in files() - before}) and time.time() < ended:
+        time.sleep(0.2)
+    assert len(new) <= 1  # the count's own
+    labels = []
+
+    def noted(df, label):
+        labels.append(label)
+        return staged(df, label)
+
+    monkeypatch.setattr(pipeline, "staged", noted)
+    run = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"a{i} {run} b{i}", "en", "s", 1) for i in range(3)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in pipeline.passages(spark, docs, SMALL).collect()}
+    assert labels == ["spans"]
+    assert got == {0: f"a0 {run} b0", 1: "a1 b1", 2: "a2 b2"}
